@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +13,22 @@ from oreline.operators.filters import newer_than
 from oreline.operators.tables import VersionedTable, work_dir, written
 
 
+R = TypeVar("R")
+
+# Fixed value: how many independent tables are written at a time.
+CONCURRENT_WRITES = 4
+
+
+def together(actions: Mapping[str, Callable[[], R]]) -> dict[str, R]:
+    """Run independent writes side by side, so that small ones do not wait for big ones.
+
+    The first failure is raised after all of them have ended.
+    """
+    with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
+        running = {name: pool.submit(action) for name, action in actions.items()}
+    return {name: done.result() for name, done in running.items()}
+
+
 def incremental(
     table: VersionedTable,
     source: DataFrame,

@@ -8,13 +8,14 @@ return the table read back.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreline.functions import surrogate_key
 from oreline.operators import quality
-from oreline.operators.changes import incremental
+from oreline.operators.changes import incremental, materialize, together
 from oreline.operators.dedup import latest_per_key
 from oreline.operators.filters import max_value, newer_than, recent_slice
 from oreline.operators.lookups import lookup_key
@@ -216,16 +217,15 @@ def _dq_active_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All data tests over a warehouse that was just loaded."""
-    landed = f"{work_dir(spark)}/raw"
-    raw = {}
     files = TradeFiles(spark, sf_dir)
-    for name in RAW_TABLES:
-        table = VersionedTable(spark, table_path(landed, name))
-        table.write(files(name))
-        raw[name] = table.read()
-    warehouse = Warehouse(spark, work_dir(spark))
-    tables = warehouse.run(raw.__getitem__, BATCH, keep_bronze=True)
-    return data_tests({**{name.split(".")[-1]: raw[name] for name in RAW_TABLES}, **tables})
+    landing = f"{work_dir(spark)}/raw"
+
+    def land(name: str) -> DataFrame:
+        return materialize(files(name), "table", VersionedTable(spark, table_path(landing, name)))
+
+    raw = together({name: partial(land, name) for name in RAW_TABLES})
+    tables = Warehouse(spark, work_dir(spark)).run(raw.__getitem__, BATCH, keep_bronze=True)
+    return data_tests({**{name.split(".")[-1]: df for name, df in raw.items()}, **tables})
 
 
 def _freshness(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreline.operators import quality
-from oreline.operators.changes import incremental, materialize
+from oreline.operators.changes import incremental, materialize, together
 from oreline.operators.filters import recent_slice
 from oreline.operators.tables import VersionedTable
 from oreline.plans import bronze, gold, silver
@@ -133,11 +133,18 @@ class Warehouse:
         Bronze relations stay views, except order headers; ``keep_bronze`` writes
         them all, which pays when they are read again (by the data tests, say).
         """
-        tables = {}
         lazy = Layers(source, batch_id, recent_days, as_of)
-        for name in BRONZE_MODELS:
+
+        def bronze_table(name: str) -> DataFrame:
             kind = "table" if keep_bronze or name == "stg_orders" else "view"
-            tables[name] = materialize(lazy[name], kind, self.table(name))
+            return materialize(lazy[name], kind, self.table(name))
+
+        def entity(name: str, changes: DataFrame, build) -> DataFrame:
+            target = self.table(name)
+            incremental(target, changes, build, "updated_at", full_refresh=full_refresh)
+            return target.read()
+
+        tables = together({name: partial(bronze_table, name) for name in BRONZE_MODELS})
         tables["int_product"] = silver.products_with_categories(
             tables["stg_products"], tables["stg_categories"]
         )
@@ -146,12 +153,9 @@ class Warehouse:
             "ads_product": (tables["int_product"], silver.products),
             "ads_sales_rep": (tables["stg_sales_reps"], silver.sales_reps),
         }
-        for name, (changes, build) in entities.items():
-            target = self.table(name)
-            incremental(target, changes, build, "updated_at", full_refresh=full_refresh)
-            tables[name] = target.read()
+        tables |= together({name: partial(entity, name, *how) for name, how in entities.items()})
 
-        others = [tables[n] for n in ("ads_customer", "ads_product", "ads_sales_rep")]
+        others = [tables[name] for name in entities]
         orders = self.table("ads_sales_order")
         incremental(
             orders,
@@ -166,11 +170,11 @@ class Warehouse:
         )
         tables["ads_sales_order"] = orders.read()
 
-        for name, df in gold.build_star(tables).items():
-            tables[name] = materialize(
-                df, "table", self.table(name), contract=GOLD_CONTRACTS[name]
-            )
-        return tables
+        def gold_table(name: str, df: DataFrame) -> DataFrame:
+            return materialize(df, "table", self.table(name), contract=GOLD_CONTRACTS[name])
+
+        star = gold.build_star(tables)
+        return tables | together({name: partial(gold_table, name, df) for name, df in star.items()})
 
 
 def data_tests(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from oreline.operators.changes import together
 from oreline.operators.tables import VersionedTable
 from oreline.schemas import RAW_TABLES, raw_schema
 from oreline.sources.catalog import table_path
@@ -110,7 +112,7 @@ def ingest(
     targets = {name: VersionedTable(spark, table_path(sink, name)) for name in frames}
     for target in targets.values():
         target.check_mode(mode)
-    staged = {name: targets[name].stage(df) for name, df in frames.items()}
+    staged = together({name: partial(targets[name].stage, df) for name, df in frames.items()})
     for name, files in staged.items():
         targets[name].publish(files, mode=mode)
     return {name: files.rows for name, files in staged.items()}

@@ -9,36 +9,54 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.window import Window
-
-from oreline.functions import map_values
+from pyspark.sql import DataFrame, SparkSession
+
+# Layout of the files, so that opening one reads no footer first.
+LAYOUT = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": """c_custkey bigint, c_name string, c_nationkey int, c_acctbal double,
+        c_mktsegment string""",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": """p_partkey bigint, p_name string, p_brand string, p_type string, p_size int,
+        p_retailprice double""",
+    "orders": """o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,
+        o_orderdate timestamp_ntz, o_orderpriority string""",
+    "lineitem": """l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,
+        l_quantity double, l_extendedprice double, l_discount double, l_tax double,
+        l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz""",
+    "events": """event_id bigint, ts timestamp_ntz, user_id bigint, event_type string,
+        value double, props string""",
+}
 
 # How the views fill columns the files do not have.
 STAMP_START = "2001-10-01 00:00:00"
-STAMP_SPREAD_MINUTES = 525600
 CREATED_START = "1995-01-01 00:00:00"
-COUNTRY_BY_REMAINDER = ["be", "nl", "fr", "de"]
-STATUS_WORDS = {"F": "invoiced", "O": "open", "P": "cancelled"}
+STAMP_SPREAD_MINUTES = 525600
 CURRENCY = "euros"
 REP_NUMBERS = 110
 UNMAPPED_TYPE = "PROMO"
-CORE_TYPES = ["ECONOMY", "STANDARD"]
+CORE_TYPES = "'ECONOMY', 'STANDARD'"
 MAPPING_STAMP = "2001-11-01 00:00:00"
-LINE_SLOT_DAYS = 4096
 LINE_SLOT_START = "1990-01-01"
-EVENT_STATUS = {
-    "view": "Success",
-    "signup": "pass",
-    "error": "error",
-    "purchase": "skipped",
-    "click": "warn",
-}
+LINE_SLOT_DAYS = 4096
+
+
+def _minutes_after(start: str, key: str) -> str:
+    minutes = f"cast(pmod({key}, {STAMP_SPREAD_MINUTES}) as int)"
+    return f"timestamp_ntz'{start}' + make_dt_interval(0, 0, {minutes})"
+
+
+def _stamps(key: str) -> list[str]:
+    changed = _minutes_after(STAMP_START, key)
+    return [f"{changed} as updated_at", f"{changed} + interval 1 hour as _loaded_at"]
 
 
 class TradeFiles:
-    """Raw-table frames over one directory of Parquet files."""
+    """Raw-table frames over one directory of Parquet files.
+
+    The columns are SQL text: these are views over files, not operators.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -57,56 +75,43 @@ class TradeFiles:
         return self.makers[name]()
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}.parquet")
+        return self.spark.read.schema(LAYOUT[name]).parquet(f"{self.root}/{name}.parquet")
 
     def customers(self) -> DataFrame:
-        nation = self.table("nation").select("n_nationkey", "n_name")
-        country = F.pmod("c_nationkey", F.lit(4))
-        return (
-            self.table("customer")
-            .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-            .select(
-                F.col("c_custkey").cast("string").alias("customer_id"),
-                F.col("c_name").alias("full_name"),
-                F.concat(F.replace("c_name", F.lit("#"), F.lit(".")), F.lit("@Example.COM")).alias(
-                    "email"
-                ),
-                map_values(
-                    country.cast("string"),
-                    {str(i): code for i, code in enumerate(COUNTRY_BY_REMAINDER)},
-                    "xx",
-                ).alias("country_code"),
-                F.col("n_name").alias("city"),
-                _minutes_after(CREATED_START, "c_custkey").alias("created_at"),
-                *_stamps("c_custkey"),
-            )
+        placed = self.table("customer").withColumnRenamed("c_nationkey", "n_nationkey")
+        return placed.join(self.table("nation"), "n_nationkey", "left").selectExpr(
+            "cast(c_custkey as string) as customer_id",
+            "c_name as full_name",
+            "replace(c_name, '#', '.') || '@Example.COM' as email",
+            """case pmod(n_nationkey, 4) when 0 then 'be' when 1 then 'nl' when 2 then 'fr'
+               else 'de' end as country_code""",
+            "n_name as city",
+            f"{_minutes_after(CREATED_START, 'c_custkey')} as created_at",
+            *_stamps("c_custkey"),
         )
 
     def products(self) -> DataFrame:
-        started = F.date_add(F.lit("1995-01-01").cast("date"), F.col("p_size"))
-        ended = F.when(F.pmod("p_size", F.lit(10)) == 0, F.lit("2001-12-31")).otherwise("")
-        return self.table("part").select(
-            F.col("p_partkey").cast("string").alias("product_id"),
-            F.col("p_name").alias("product_name"),
-            F.lower("p_type").alias("category_code"),
-            F.col("p_retailprice").cast("decimal(18,2)").alias("unit_price"),
-            started.cast("string").alias("active_from"),
-            ended.alias("active_to"),
+        return self.table("part").selectExpr(
+            "cast(p_partkey as string) as product_id",
+            "p_name as product_name",
+            "lower(p_type) as category_code",
+            "cast(p_retailprice as decimal(18,2)) as unit_price",
+            "cast(date_add(date'1995-01-01', p_size) as string) as active_from",
+            "case when pmod(p_size, 10) = 0 then '2001-12-31' else '' end as active_to",
             *_stamps("p_partkey"),
         )
 
     def orders(self) -> DataFrame:
-        eight = F.make_dt_interval(F.lit(0), F.lit(8))
-        next_day = F.make_dt_interval(F.lit(1))
-        return self.table("orders").select(
-            F.col("o_orderkey").cast("string").alias("order_id"),
-            F.col("o_custkey").cast("string").alias("customer_id"),
-            F.pmod("o_orderkey", F.lit(REP_NUMBERS)).cast("string").alias("sales_rep_id"),
-            F.col("o_orderdate").cast("date").alias("order_date"),
-            map_values("o_orderstatus", STATUS_WORDS, "other").alias("status"),
-            F.lit(CURRENCY).alias("currency_code"),
-            (F.col("o_orderdate") + eight).alias("updated_at"),
-            (F.col("o_orderdate") + next_day).alias("_loaded_at"),
+        return self.table("orders").selectExpr(
+            "cast(o_orderkey as string) as order_id",
+            "cast(o_custkey as string) as customer_id",
+            f"cast(pmod(o_orderkey, {REP_NUMBERS}) as string) as sales_rep_id",
+            "cast(o_orderdate as date) as order_date",
+            """case o_orderstatus when 'F' then 'invoiced' when 'O' then 'open'
+               when 'P' then 'cancelled' else 'other' end as status""",
+            f"'{CURRENCY}' as currency_code",
+            "o_orderdate + interval 8 hours as updated_at",
+            "o_orderdate + interval 1 day as _loaded_at",
         )
 
     def order_lines(self) -> DataFrame:
@@ -117,108 +122,90 @@ class TradeFiles:
         per ship day and given number, and composing the three, gives a unique
         number without that.
         """
-        day = F.pmod(
-            F.datediff(F.col("l_shipdate"), F.lit(LINE_SLOT_START).cast("date")),
-            F.lit(LINE_SLOT_DAYS),
+        day = f"pmod(datediff(l_shipdate, date'{LINE_SLOT_START}'), {LINE_SLOT_DAYS})"
+        slots = self.table("lineitem").selectExpr(
+            "*", f"cast({day} * 8 + pmod(l_linenumber, 8) as bigint) as slot"
         )
-        slot = (day * 8 + F.pmod("l_linenumber", F.lit(8))).cast("bigint")
-        same_slot = Window.partitionBy("l_orderkey", "__slot").orderBy(
-            "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
-            "l_returnflag", "l_linestatus", "l_shipdate", "l_linenumber",
-        )
-        price = F.col("l_extendedprice").cast("decimal(18,2)")
-        discount = price * F.col("l_discount").cast("decimal(4,2)")
-        numbered = self.table("lineitem").withColumn("__slot", slot)
-        repeat = F.row_number().over(same_slot).cast("bigint") - 1
-        return numbered.select(
-            F.col("l_orderkey").cast("string").alias("order_id"),
-            (repeat * (LINE_SLOT_DAYS * 8) + F.col("__slot")).cast("int").alias("line_id"),
-            F.col("l_partkey").cast("string").alias("product_id"),
-            F.col("l_quantity").cast("int").alias("quantity"),
-            price.alias("unit_price"),
-            discount.cast("decimal(18,2)").alias("discount_amount"),
-            F.col("l_shipdate").alias("updated_at"),
-            (F.col("l_shipdate") + F.make_dt_interval(F.lit(1))).alias("_loaded_at"),
+        # Numbered before anything is derived, so the shuffle carries plain columns.
+        numbered = slots.selectExpr(
+            "*",
+            """row_number() over (partition by l_orderkey, slot
+                 order by l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
+                          l_returnflag, l_linestatus, l_shipdate, l_linenumber) - 1 as repeat""",
+        )
+        price = "cast(l_extendedprice as decimal(18,2))"
+        return numbered.selectExpr(
+            "cast(l_orderkey as string) as order_id",
+            f"cast(repeat * {LINE_SLOT_DAYS * 8}L + slot as int) as line_id",
+            "cast(l_partkey as string) as product_id",
+            "cast(l_quantity as int) as quantity",
+            f"{price} as unit_price",
+            f"cast({price} * cast(l_discount as decimal(4,2)) as decimal(18,2)) as discount_amount",
+            "l_shipdate as updated_at",
+            "l_shipdate + interval 1 day as _loaded_at",
         )
 
     def sales_reps(self) -> DataFrame:
-        nation = self.table("nation")
-        region = self.table("region")
-        return (
-            self.table("supplier")
-            .join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
-            .join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
-            .select(
-                F.col("s_suppkey").cast("string").alias("sales_rep_id"),
-                F.col("s_name").alias("sales_rep_name"),
-                F.col("r_name").alias("region"),
-                F.col("n_name").alias("team_name"),
-                F.concat(F.lit("Manager of "), "n_name").alias("manager_name"),
-                *_stamps("s_suppkey"),
-            )
+        placed = self.table("supplier").withColumnRenamed("s_nationkey", "n_nationkey")
+        nation = self.table("nation").withColumnRenamed("n_regionkey", "r_regionkey")
+        located = placed.join(nation, "n_nationkey", "left")
+        return located.join(self.table("region"), "r_regionkey", "left").selectExpr(
+            "cast(s_suppkey as string) as sales_rep_id",
+            "s_name as sales_rep_name",
+            "r_name as region",
+            "n_name as team_name",
+            "'Manager of ' || n_name as manager_name",
+            *_stamps("s_suppkey"),
         )
 
     def categories(self) -> DataFrame:
         """Mapping of every part type but one, which stays unmapped."""
-        core = F.col("p_type").isin(*CORE_TYPES)
-        types = self.table("part").where(F.col("p_type") != UNMAPPED_TYPE)
-        return (
-            types.select("p_type")
-            .distinct()
-            .select(
-                F.initcap("p_type").alias("category_code"),
-                F.concat(F.initcap("p_type"), F.lit(" parts")).alias("category_name"),
-                F.when(core, "Core").otherwise("Sized").alias("category_group"),
-                F.when(core, 1).otherwise(0).alias("is_budget_relevant"),
-                F.lit("owner@example.com").alias("mdm_owner"),
-                F.lit("1995-01-01").alias("effective_from"),
-                F.lit("").alias("effective_to"),
-                F.lit(MAPPING_STAMP).cast("timestamp_ntz").alias("updated_at"),
-                F.lit(MAPPING_STAMP).cast("timestamp_ntz").alias("_loaded_at"),
-            )
+        types = self.table("part").where(f"p_type <> '{UNMAPPED_TYPE}'").select("p_type")
+        return types.distinct().selectExpr(
+            "initcap(p_type) as category_code",
+            "initcap(p_type) || ' parts' as category_name",
+            f"case when p_type in ({CORE_TYPES}) then 'Core' else 'Sized' end as category_group",
+            f"case when p_type in ({CORE_TYPES}) then 1 else 0 end as is_budget_relevant",
+            "'owner@example.com' as mdm_owner",
+            "'1995-01-01' as effective_from",
+            "'' as effective_to",
+            f"timestamp_ntz'{MAPPING_STAMP}' as updated_at",
+            f"timestamp_ntz'{MAPPING_STAMP}' as _loaded_at",
         )
 
     def run_results(self) -> DataFrame:
         """Events read as step results: a node per type and user, a run per day."""
-        day = F.date_trunc("day", F.col("ts")).cast("timestamp_ntz")
-        node = F.concat_ws("_", "event_type", F.col("user_id").cast("string"))
-        odd_day = F.pmod(F.dayofmonth("ts"), F.lit(2)) == 1
-        second = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(1))
-        quiet = F.lit(None).cast("timestamp_ntz")
-        ran = ~F.col("event_type").isin("error", "purchase")
-        compiled = F.col("event_type") != "purchase"
-        return self.table("events").select(
-            F.concat(F.lit("run-"), F.date_format("ts", "yyyy-MM-dd")).alias("invocation_id"),
-            F.concat(F.lit("model.shop."), node).alias("unique_id"),
-            node.alias("name"),
-            F.when(F.col("event_type") == "signup", "test").otherwise("model").alias("resource_type"),
-            F.when(odd_day, "table").otherwise("view").alias("materialized"),
-            F.lit("shop").alias("package_name"),
-            F.lit("warehouse").alias("database"),
-            F.when(odd_day, "gold").otherwise("silver").alias("schema"),
-            F.concat(F.lit("models/"), node, F.lit(".sql")).alias("original_file_path"),
-            day.alias("run_started_at"),
-            F.lit("prod").alias("target_name"),
-            F.lit("build").alias("command"),
-            F.when(ran, F.col("ts")).otherwise(quiet).alias("execute_started_at"),
-            F.when(ran, F.col("ts") + second).otherwise(quiet).alias("execute_completed_at"),
-            F.when(compiled, F.col("ts") - second).otherwise(quiet).alias("compile_started_at"),
-            F.when(compiled, F.col("ts")).otherwise(quiet).alias("compile_completed_at"),
-            F.col("value").alias("execution_time"),
-            map_values("event_type", EVENT_STATUS, "unknown").alias("status"),
-            F.when(F.col("event_type") == "view", F.col("event_id")).alias("rows_affected"),
-            F.when(F.col("event_type") == "error", F.lit(1)).alias("failures"),
-            F.when(F.col("event_type") == "error", F.repeat("props", F.lit(600))).alias("message"),
-            (day + F.make_dt_interval(F.lit(1))).alias("logged_at"),
+        named = self.table("events").selectExpr(
+            "*",
+            "event_type || '_' || user_id as node",
+            "cast(date_trunc('day', ts) as timestamp_ntz) as day",
+            "pmod(dayofmonth(ts), 2) = 1 as odd_day",
+            "event_type not in ('error', 'purchase') as ran",
+            "event_type <> 'purchase' as compiled",
+        )
+        return named.selectExpr(
+            "'run-' || date_format(ts, 'yyyy-MM-dd') as invocation_id",
+            "'model.shop.' || node as unique_id",
+            "node as name",
+            "case when event_type = 'signup' then 'test' else 'model' end as resource_type",
+            "case when odd_day then 'table' else 'view' end as materialized",
+            "'shop' as package_name",
+            "'warehouse' as database",
+            "case when odd_day then 'gold' else 'silver' end as schema",
+            "'models/' || node || '.sql' as original_file_path",
+            "day as run_started_at",
+            "'prod' as target_name",
+            "'build' as command",
+            "case when ran then ts end as execute_started_at",
+            "case when ran then ts + interval 1 second end as execute_completed_at",
+            "case when compiled then ts - interval 1 second end as compile_started_at",
+            "case when compiled then ts end as compile_completed_at",
+            "value as execution_time",
+            """case event_type when 'view' then 'Success' when 'signup' then 'pass'
+               when 'error' then 'error' when 'purchase' then 'skipped' when 'click' then 'warn'
+               else 'unknown' end as status""",
+            "case when event_type = 'view' then event_id end as rows_affected",
+            "case when event_type = 'error' then 1 end as failures",
+            "case when event_type = 'error' then repeat(props, 600) end as message",
+            "day + interval 1 day as logged_at",
         )
-
-
-def _minutes_after(start: str, key: str) -> Column:
-    minutes = F.pmod(F.col(key), F.lit(STAMP_SPREAD_MINUTES)).cast("int")
-    return F.lit(start).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), minutes)
-
-
-def _stamps(key: str) -> list[Column]:
-    changed = _minutes_after(STAMP_START, key)
-    hour = F.make_dt_interval(F.lit(0), F.lit(1))
-    return [changed.alias("updated_at"), (changed + hour).alias("_loaded_at")]

@@ -1,0 +1,38 @@
+from __future__ import annotations
+
+import pytest
+
+from oreline.operators.tables import VersionedTable
+from oreline.sources import rows_df
+from oreline.streaming import stream_upsert
+
+SCHEMA = "k bigint, at int, v string"
+
+
+def test_stream_equals_batch(spark, folder):
+    changes = [
+        [(1, 1, "a"), (2, 1, "b"), (1, 2, "a2")],
+        [(2, 3, "b3"), (3, 3, "c"), (2, 2, "b2")],
+        [(1, 4, "a4")],
+    ]
+    table = VersionedTable(spark, f"{folder}/t", key="k", buckets=2)
+    table.write(rows_df(spark, [(0, 0, "kept"), (1, 0, "old")], SCHEMA))
+    twin = VersionedTable(spark, f"{folder}/twin", key="k", buckets=2)
+    twin.write(table.read())
+    for batch in changes:
+        rows_df(spark, batch, SCHEMA).write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(SCHEMA).parquet(f"{folder}/in")
+        query = stream_upsert(stream, table, f"{folder}/checkpoint", ["at"])
+        query.awaitTermination(120)
+        assert query.exception() is None
+        twin.upsert(rows_df(spark, batch, SCHEMA), on_duplicate="latest", order=["at"])
+        got, want = (sorted(map(tuple, t.read().collect())) for t in (table, twin))
+        assert got == want
+    assert (1, 4, "a4") in got and (0, 0, "kept") in got
+
+
+def test_unknown_duplicate_policy(spark, folder):
+    table = VersionedTable(spark, f"{folder}/t", key="k")
+    table.write(rows_df(spark, [(0, 0, "x")], SCHEMA))
+    with pytest.raises(ValueError):
+        table.upsert(table.read(), on_duplicate="first")

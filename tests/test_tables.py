@@ -1,0 +1,246 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from oreline.operators import files
+from oreline.operators.quality import ContractViolation
+from oreline.operators.tables import (
+    ConcurrentWrite,
+    DuplicateKeys,
+    SchemaDrift,
+    TableExists,
+    TableMissing,
+    VersionedTable,
+    work_dir,
+)
+from oreline.schemas import Contract
+from oreline.sources import rows_df
+
+CONTRACT = Contract.of("t", {"k": "bigint *", "v": "varchar(3)"})
+
+
+def frame(spark, *rows):
+    return rows_df(spark, rows, "k bigint, v string")
+
+
+def content(table):
+    return sorted(map(tuple, table.read().collect()), key=str)
+
+
+@pytest.fixture
+def table(spark, folder):
+    return VersionedTable(spark, f"{folder}/t", key="k", buckets=4)
+
+
+def test_overwrite_append_error(spark, folder):
+    t = VersionedTable(spark, f"{folder}/t")
+    assert not t.exists()
+    with pytest.raises(TableMissing):
+        t.read()
+    assert t.write(frame(spark, (1, "a"))) == 1
+    t.write(frame(spark, (2, "b")), mode="append")
+    assert content(t) == [(1, "a"), (2, "b")]
+    with pytest.raises(TableExists):
+        t.write(frame(spark, (3, "c")), mode="error")
+    t.write(frame(spark, (3, "c")))
+    assert content(t) == [(3, "c")]
+    with pytest.raises(SchemaDrift):
+        t.write(spark.range(1), mode="append")
+
+
+def test_overwrite_may_change_columns(spark, table):
+    table.write(frame(spark, (1, "a")))
+    table.write(rows_df(spark, [(1, 2.0)], "k bigint, w double"))
+    assert table.read().columns == ["k", "w"]
+
+
+def test_table_can_be_rewritten_from_itself(spark, table):
+    table.write(frame(spark, (1, "a"), (2, "b")))
+    table.write(table.read().withColumn("v", F.upper("v")))
+    assert content(table) == [(1, "A"), (2, "B")]
+
+
+def test_ensure_creates_once(spark, folder):
+    t = VersionedTable(spark, f"{folder}/t")
+    t.ensure(CONTRACT.schema)
+    assert t.read().schema == CONTRACT.schema and t.read().isEmpty()
+    t.write(frame(spark, (1, "a")), mode="append", contract=CONTRACT)
+    t.ensure(CONTRACT.schema)
+    assert content(t) == [(1, "a")]
+
+
+def test_empty_overwrite(spark, table):
+    table.write(frame(spark, (1, "a")))
+    table.write(frame(spark))
+    assert content(table) == [] and table.read().columns == ["k", "v"]
+    table.upsert(frame(spark, (2, "b")))
+    assert content(table) == [(2, "b")]
+
+
+def test_upsert_replaces_inserts_and_never_deletes(spark, table):
+    table.write(frame(spark, *[(i, "old") for i in range(20)]))
+    assert table.upsert(frame(spark, (3, "new"), (99, "new"))) == 2
+    want = [(i, "old") for i in range(20) if i != 3] + [(3, "new"), (99, "new")]
+    assert content(table) == sorted(want, key=str)
+
+
+def test_upsert_of_nothing_publishes_nothing(spark, table):
+    table.write(frame(spark, (1, "a")))
+    before = table.live().version
+    assert table.upsert(frame(spark)) == 0
+    assert table.live().version == before
+
+
+def test_null_key_is_inserted_each_time(spark, table):
+    table.write(frame(spark, (1, "a"), (None, "x")))
+    for _ in range(2):
+        table.upsert(frame(spark, (None, "y"), (1, "b")))
+    assert content(table) == [(1, "b"), (None, "x"), (None, "y"), (None, "y")]
+
+
+def test_null_keys_are_spread_over_buckets(spark, table):
+    table.write(frame(spark, *[(None, f"v{i}") for i in range(200)]))
+    assert len(table.live().dirs) == 4
+
+
+def test_duplicate_keys_in_a_batch(spark, table):
+    table.write(frame(spark, (1, "a"), (2, "b")))
+    batch = frame(spark, (1, "x"), (1, "y"), (3, "z"))
+    with pytest.raises(DuplicateKeys, match="1"):
+        table.upsert(batch)
+    assert content(table) == [(1, "a"), (2, "b")]
+    table.upsert(batch, on_duplicate="latest", order=["v"])
+    assert content(table) == [(1, "y"), (2, "b"), (3, "z")]
+    with pytest.raises(ValueError):
+        table.upsert(batch, on_duplicate="latest")
+    with pytest.raises(ValueError):
+        table.upsert(batch, on_duplicate="any")
+
+
+def test_latest_keeps_all_null_keys(spark, table):
+    table.write(frame(spark, (1, "a")))
+    table.upsert(frame(spark, (None, "x"), (None, "y")), on_duplicate="latest", order=["v"])
+    assert content(table) == [(1, "a"), (None, "x"), (None, "y")]
+
+
+def test_schema_drift(spark, table):
+    table.write(frame(spark, (1, "a")))
+    wider = frame(spark, (1, "b")).withColumn("extra", F.lit(1))
+    table.upsert(wider)
+    assert content(table) == [(1, "b")]
+    with pytest.raises(SchemaDrift, match="extra"):
+        table.upsert(wider, on_schema_change="fail")
+    with pytest.raises(SchemaDrift, match="v"):
+        table.upsert(wider.drop("v"))
+
+
+def test_upsert_needs_a_keyed_table(spark, folder):
+    t = VersionedTable(spark, f"{folder}/t")
+    t.write(frame(spark, (1, "a")))
+    with pytest.raises(ValueError, match="no key"):
+        t.upsert(frame(spark, (1, "b")))
+
+
+def test_only_buckets_with_replaced_rows_are_rewritten(spark, folder):
+    t = VersionedTable(spark, f"{folder}/t", key="k", buckets=16)
+    t.write(frame(spark, *[(i, "old") for i in range(200)]))
+    before = t.live().dirs
+    t.upsert(frame(spark, (5, "new")))
+    changed = [b for b, dirs in t.live().dirs.items() if dirs != before.get(b)]
+    assert len(changed) == 1
+    # New keys only: every old directory stays, one is added per touched bucket.
+    before = t.live().dirs
+    t.upsert(frame(spark, *[(1000 + i, "new") for i in range(5)]))
+    after = t.live().dirs
+    assert all(set(before[b]) <= set(after[b]) for b in before)
+    assert t.read().count() == 205
+
+
+def test_reader_keeps_its_version(spark, table):
+    table.write(frame(spark, (1, "a"), (2, "b")))
+    old = table.read()
+    table.upsert(frame(spark, (1, "x")))
+    assert sorted(map(tuple, old.collect())) == [(1, "a"), (2, "b")]
+
+
+def test_crash_before_publishing_leaves_the_old_table(spark, table, monkeypatch):
+    table.write(frame(spark, (1, "a")))
+
+    def killed(*_):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(VersionedTable, "_commit", killed)
+    for change in (
+        lambda: table.write(frame(spark, (2, "b"))),
+        lambda: table.upsert(frame(spark, (1, "x"))),
+    ):
+        with pytest.raises(KeyboardInterrupt):
+            change()
+    monkeypatch.undo()
+    assert content(table) == [(1, "a")]
+    # The next run is not disturbed by what the dead ones left behind.
+    table.upsert(frame(spark, (1, "y")))
+    assert content(table) == [(1, "y")]
+    assert len(table.unreferenced()) >= 3
+
+
+def test_failing_write_leaves_the_old_table(spark, table):
+    table.write(frame(spark, (1, "a")))
+    bad = frame(spark, (2, "b")).withColumn("v", F.raise_error(F.lit("boom")).cast("string"))
+    with pytest.raises(PySparkException):
+        table.write(bad)
+    assert content(table) == [(1, "a")]
+
+
+def test_second_writer_of_a_version_fails(spark, table, monkeypatch):
+    table.write(frame(spark, (1, "a")))
+    stale = table.live()
+    table.upsert(frame(spark, (2, "b")))
+    monkeypatch.setattr(VersionedTable, "live", lambda self: stale)
+    with pytest.raises(ConcurrentWrite):
+        table.upsert(frame(spark, (3, "c")))
+    monkeypatch.undo()
+    assert content(table) == [(1, "a"), (2, "b")]
+
+
+def test_contract_is_checked_before_publishing(spark, table):
+    table.write(frame(spark, (1, "a")), contract=CONTRACT)
+    for bad, problem in [
+        (frame(spark, (None, "a")), "null in k: 1"),
+        (frame(spark, (1, "abcd"), (2, "abcd")), "too long v: 2"),
+        (frame(spark, (1, "a")).withColumn("k", F.lit("1")), "wrong_type k"),
+        (frame(spark, (1, "a")).drop("v"), "missing_column v"),
+        (frame(spark, (1, "a")).withColumn("w", F.lit(1)), "unexpected_column w"),
+    ]:
+        with pytest.raises(ContractViolation, match=problem):
+            table.write(bad, contract=CONTRACT)
+    assert content(table) == [(1, "a")]
+
+
+def test_column_metadata_survives(spark, table):
+    contract = Contract.of("t", {"k": "bigint *", "v": "varchar(3) pii"})
+    pii = frame(spark, (1, "a")).select("k", F.col("v").alias("v", metadata={"contains_pii": True}))
+    table.write(pii, contract=contract)
+    assert table.read().schema["v"].metadata["contains_pii"] is True
+
+
+def test_replayed_batch_is_skipped(spark, table):
+    table.write(frame(spark, (1, "a")))
+    assert table.upsert(frame(spark, (None, "x")), batch=0) == 1
+    assert table.upsert(frame(spark, (None, "x")), batch=0) == 0
+    assert table.upsert(frame(spark, (None, "z")), batch=1) == 1
+    assert content(table) == [(1, "a"), (None, "x"), (None, "z")]
+
+
+def test_text_files_are_created_once(spark, folder):
+    assert files.create_text(spark, f"{folder}/d/x", "één")
+    assert not files.create_text(spark, f"{folder}/d/x", "two")
+    assert files.read_text(spark, f"{folder}/d/x") == "één"
+    assert files.child_names(spark, f"{folder}/d") == ["x"]
+
+
+def test_work_dir_is_below_the_shared_folder(spark):
+    assert work_dir(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
+    assert work_dir(spark) != work_dir(spark)

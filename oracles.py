@@ -322,29 +322,20 @@ def _runlog_fact() -> str:
 
 
 def _contract_check() -> str:
-    def line(column: str, kind: str, detail: str | None, failures: str) -> str:
-        shown = f"'{detail}'" if detail else "cast(null as varchar)"
+    def line(column: str, kind: str, detail: str, failures: str) -> str:
         return f"""select 'fact_sales' as "table", '{column}' as "column", '{kind}' as violation,
-                          {shown} as detail, cast({failures} as bigint) as failures"""
+                          '{detail}' as detail, cast({failures} as bigint) as failures"""
 
+    no_discount = "(select count(*) from fact_sales where discount_amount = 0)"
+    is_open = "(select count(*) from fact_sales where order_status = 'OPEN')"
     found = [
-        line("currency_code", "missing_column", "string", "null"),
-        line("quantity", "wrong_type", "bigint instead of int", "null"),
-        line("loaded_by", "unexpected_column", "string", "null"),
-        line(
-            "net_sales_amount",
-            "null",
-            None,
-            "(select count(*) from fact_sales where discount_amount = 0)",
-        ),
-        line(
-            "order_status",
-            "too_long",
-            None,
-            "(select count(*) from fact_sales where order_status = 'OPEN')",
-        ),
+        line("currency_code", "missing_column", "string", "1"),
+        line("quantity", "wrong_type", "bigint instead of int", "1"),
+        line("loaded_by", "unexpected_column", "string", "1"),
+        line("net_sales_amount", "null", "required", no_discount),
+        line("order_status", "too_long", "more than 50 characters", is_open),
     ]
-    return with_ctes(" union all ".join(found))
+    return with_ctes(f"select * from ({' union all '.join(found)}) where failures > 0")
 
 
 def _dq_not_null() -> str:

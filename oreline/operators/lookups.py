@@ -69,7 +69,10 @@ def with_unknown_member(dim: DataFrame, values: Mapping[str, object]) -> DataFra
     if stray:
         raise ValueError(f"unknown member sets columns the dimension lacks: {sorted(stray)}")
     member = dim.sparkSession.range(1).select(
-        *[F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in dim.schema]
+        *[
+            F.lit(values.get(f.name)).cast(f.dataType).alias(f.name, metadata=f.metadata)
+            for f in dim.schema
+        ]
     )
     return member.unionByName(dim)
 

@@ -141,13 +141,15 @@ def contract_measures(contract: Contract) -> list[Column]:
 
 
 def check_contract(df: DataFrame, contract: Contract) -> DataFrame:
-    """(table, column, violation, detail, failures) of a frame; empty when it conforms."""
-    spark = df.sparkSession
+    """(table, column, violation, detail, failures) of a frame; empty when it conforms.
+
+    ``failures`` counts rows, or is 1 for a violation of the schema itself.
+    """
     schema_rows = [
-        (contract.table, name, kind, detail, None)
+        (contract.table, name, kind, detail, 1)
         for name, kind, detail in _schema_problems(df.schema, contract)
     ]
-    out = spark.createDataFrame(
+    out = df.sparkSession.createDataFrame(
         schema_rows, "table string, column string, violation string, detail string, failures bigint"
     )
     checks = {}
@@ -155,19 +157,20 @@ def check_contract(df: DataFrame, contract: Contract) -> DataFrame:
         if c.name not in df.columns:
             continue
         if c.required:
-            checks[f"{c.name}|null"] = F.col(c.name).isNull()
+            checks[f"{c.name}|null|required"] = F.col(c.name).isNull()
         if c.max_chars and isinstance(df.schema[c.name].dataType, T.StringType):
-            checks[f"{c.name}|too_long"] = F.length(F.col(c.name)) > c.max_chars
+            too_long = F.length(F.col(c.name)) > c.max_chars
+            checks[f"{c.name}|too_long|more than {c.max_chars} characters"] = too_long
     if checks:
         counts = df.agg(*[F.count_if(broken).alias(name) for name, broken in checks.items()])
-        parts = F.split("column", "\\|")
+        parts = F.split("column", "[|]")
         rows = _unpivot_counts(counts, list(checks)).where("failures > 0")
         out = out.unionByName(
             rows.select(
                 F.lit(contract.table).alias("table"),
                 parts[0].alias("column"),
                 parts[1].alias("violation"),
-                F.lit(None).cast("string").alias("detail"),
+                parts[2].alias("detail"),
                 "failures",
             )
         )

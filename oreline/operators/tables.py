@@ -306,8 +306,12 @@ class VersionedTable:
             rewritten = [r[BUCKET] for r in replaced]
             if rewritten:
                 old = self._read_dirs(live.schema, [d for b in rewritten for d in dirs[b]])
+                # The bucket follows from the key, so joining on both changes nothing
+                # but spreads rows without a key over many tasks.
+                spread = old.withColumn(BUCKET, self._bucket_of(live.schema, key, live.buckets))
+                gone = keys.withColumn(BUCKET, bucket)
                 kept = self.stage(
-                    old.join(keys, key, "left_anti").select(*live.schema.names),
+                    spread.join(gone, [key, BUCKET], "left_anti").select(*live.schema.names),
                     key=key,
                     buckets=live.buckets,
                 )

@@ -17,7 +17,7 @@ from oreline.functions import (
     varchar,
     with_batch_id,
 )
-from oreline.schemas import KEY_TAGS
+from oreline.schemas import KEY_TAGS, PII_COLUMNS, PII_TAG
 
 
 def _key(source: str, *columns: str) -> Column:
@@ -32,8 +32,10 @@ def _money(name: str) -> Column:
     return F.col(name).cast("decimal(18,2)").alias(name)
 
 
-def _cut(name: str, n: int) -> Column:
-    return varchar(name, n).alias(name)
+def _cut(name: str, n: int, fold=None) -> Column:
+    text = varchar(name, n)
+    tag = PII_TAG if name in PII_COLUMNS else {}
+    return (fold(text) if fold else text).alias(name, metadata=tag)
 
 
 def _staged(raw: DataFrame, batch_id: str, *columns: Column) -> DataFrame:
@@ -48,8 +50,8 @@ def customers(raw: DataFrame, batch_id: str) -> DataFrame:
         _key("sales", "customer_id").alias("customer_pk"),
         _cut("customer_id", 50),
         _cut("full_name", 200),
-        lower(varchar("email", 320)).alias("email"),
-        upper(varchar("country_code", 2)).alias("country_code"),
+        _cut("email", 320, lower),
+        _cut("country_code", 2, upper),
         _cut("city", 100),
         _stamp("created_at"),
     )
@@ -62,7 +64,7 @@ def products(raw: DataFrame, batch_id: str) -> DataFrame:
         _key("sales", "product_id").alias("product_pk"),
         _cut("product_id", 50),
         _cut("product_name", 200),
-        upper(varchar("category_code", 50)).alias("category_code"),
+        _cut("category_code", 50, upper),
         _money("unit_price"),
         F.col("active_from").cast("string").cast("date").alias("active_from"),
         blank_to_date("active_to").alias("active_to"),
@@ -78,8 +80,8 @@ def orders(raw: DataFrame, batch_id: str) -> DataFrame:
         _cut("customer_id", 50),
         _cut("sales_rep_id", 50),
         F.col("order_date").cast("date").alias("order_date"),
-        upper(varchar("status", 50)).alias("status"),
-        upper(varchar("currency_code", 3)).alias("currency_code"),
+        _cut("status", 50, upper),
+        _cut("currency_code", 3, upper),
     )
 
 
@@ -116,7 +118,7 @@ def categories(raw: DataFrame, batch_id: str) -> DataFrame:
         raw,
         batch_id,
         _key("master_data", "category_code").alias("product_category_pk"),
-        upper(varchar("category_code", 50)).alias("category_code"),
+        _cut("category_code", 50, upper),
         _cut("category_name", 200),
         _cut("category_group", 200),
         to_bit("is_budget_relevant").alias("is_budget_relevant"),

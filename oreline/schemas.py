@@ -86,6 +86,10 @@ FRESHNESS_DAYS: dict[str, tuple[int, int]] = {
     "mdm.mdm_product_category_mapping": (30, 90),
 }
 
+# Columns that hold personal data; tagged in the schema of every layer.
+PII_COLUMNS = ("full_name", "email", "sales_rep_name", "manager_name")
+PII_TAG = {"contains_pii": True}
+
 # First part of each source's surrogate keys.
 KEY_TAGS: dict[str, str] = {
     "sales": "sales",
@@ -94,14 +98,14 @@ KEY_TAGS: dict[str, str] = {
 }
 
 # --- fixed values: gold contracts --------------------------------------------
-# "*" after a type marks a required column, "pii" a personal-data column.
+# "*" after a type marks a required column.
 
 GOLD_COLUMNS: dict[str, dict[str, str]] = {
     "dim_customer": {
         "customer_key": "bigint *",
         "customer_id": "varchar(50) *",
-        "full_name": "varchar(200) pii",
-        "email": "varchar(320) pii",
+        "full_name": "varchar(200)",
+        "email": "varchar(320)",
         "country_code": "varchar(2)",
         "country_name": "varchar(100)",
         "city": "varchar(100)",
@@ -128,10 +132,10 @@ GOLD_COLUMNS: dict[str, dict[str, str]] = {
     "dim_sales_rep": {
         "sales_rep_key": "bigint *",
         "sales_rep_id": "varchar(50) *",
-        "sales_rep_name": "varchar(200) pii",
+        "sales_rep_name": "varchar(200)",
         "region": "varchar(100)",
         "team_name": "varchar(100)",
-        "manager_name": "varchar(200) pii",
+        "manager_name": "varchar(200)",
         "updated_at": "datetime2(6)",
         "dbt_batch_id": "varchar(36)",
     },
@@ -326,7 +330,7 @@ class Contract:
                     spark_type(dtype),
                     required="*" in marks,
                     max_chars=int(length[1]) if length else None,
-                    pii="pii" in marks,
+                    pii=name in PII_COLUMNS,
                 )
             )
         return cls(table, tuple(out))
@@ -337,18 +341,17 @@ class Contract:
 
     @property
     def schema(self) -> T.StructType:
-        fields = []
-        for c in self.columns:
-            meta = {"contains_pii": True} if c.pii else {}
-            if c.max_chars:
-                meta["max_chars"] = c.max_chars
-            fields.append(T.StructField(c.name, c.dtype, True, meta))
-        return T.StructType(fields)
+        return T.StructType(
+            [T.StructField(c.name, c.dtype, True, PII_TAG if c.pii else {}) for c in self.columns]
+        )
 
 
 def raw_schema(table: str) -> T.StructType:
     declared = ", ".join(f"`{name}` {dtype}" for name, dtype in RAW_TABLES[table].items())
-    return T.StructType.fromDDL(declared)
+    fields = T.StructType.fromDDL(declared)
+    for field in fields:
+        field.metadata = dict(PII_TAG) if field.name in PII_COLUMNS else {}
+    return fields
 
 
 GOLD_CONTRACTS = {name: Contract.of(name, cols) for name, cols in GOLD_COLUMNS.items()}

@@ -43,14 +43,14 @@ def _typed(field: T.StructField, file: str) -> Column:
     form = _text_form(field.dataType)
     cast = text.cast(field.dataType)
     if form is None:
-        return cast.alias(field.name)
+        return cast.alias(field.name, metadata=field.metadata)
     problem = F.concat(
         F.lit(f"{file}: column {field.name} is not a {field.dataType.simpleString()}: "), text
     )
     return (
         F.when(text.isNull() | text.rlike(form), cast)
         .otherwise(F.raise_error(problem).cast(field.dataType))
-        .alias(field.name)
+        .alias(field.name, metadata=field.metadata)
     )
 
 

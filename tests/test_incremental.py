@@ -78,10 +78,22 @@ def test_declared_test_counts():
     assert len(RELATIONSHIPS) == 4
 
 
-def test_gold_columns_carry_the_contract(spark, folder):
-    tables = Warehouse(spark, f"{folder}/wh", buckets=1).run(demo.Raw(spark), "run-1")
-    assert tables["fact_sales"].schema["net_sales_amount"].dataType.simpleString() == "decimal(18,2)"
-    assert tables["dim_product"].first() is not None
+def test_personal_data_is_tagged_in_every_layer(spark, folder):
+    ingest(spark, demo.write_csvs(f"{folder}/csv"), f"{folder}/raw")
+    source = SourceCatalog(spark, root=f"{folder}/raw")
+    tables = Warehouse(spark, f"{folder}/wh", buckets=1).run(source, "run-1")
+    raw = {name: source(name) for name in RAW_TABLES}
+    tagged = {
+        (name, f.name)
+        for name, df in {**raw, **tables}.items()
+        for f in df.schema
+        if f.metadata.get("contains_pii")
+    }
+    people = [CUSTOMERS, "stg_customers", "ads_customer", "dim_customer"]
+    reps = ["raw_hr.raw_hr_sales_reps", "stg_sales_reps", "ads_sales_rep", "dim_sales_rep"]
+    assert tagged == {(t, c) for t in people for c in ("full_name", "email")} | {
+        (t, c) for t in reps for c in ("sales_rep_name", "manager_name")
+    }
 
 
 def test_incremental_story(spark, folder):

@@ -102,14 +102,14 @@ def test_contract_check(spark):
         spark, [(None, "abcd", 1), (2, "x", 1)], "k bigint, v string, extra int"
     )
     assert rows(q.check_contract(broken, CONTRACT)) == [
-        ("t", "d", "missing_column", "date", None),
-        ("t", "extra", "unexpected_column", "int", None),
-        ("t", "k", "null", None, 1),
-        ("t", "v", "too_long", None, 1),
+        ("t", "d", "missing_column", "date", 1),
+        ("t", "extra", "unexpected_column", "int", 1),
+        ("t", "k", "null", "required", 1),
+        ("t", "v", "too_long", "more than 3 characters", 1),
     ]
     retyped = sound.withColumn("k", F.lit("1"))
     assert rows(q.check_contract(retyped, CONTRACT)) == [
-        ("t", "k", "wrong_type", "string instead of bigint", None)
+        ("t", "k", "wrong_type", "string instead of bigint", 1)
     ]
 
 

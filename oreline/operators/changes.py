@@ -89,23 +89,17 @@ def scd1_seen(
     return merged.select(*[columns[c].cast(dim.schema[c].dataType).alias(c) for c in dim.columns])
 
 
-def materialize(
-    df: DataFrame,
-    kind: str,
-    table: VersionedTable | None = None,
-    view: str | None = None,
-    **options,
-) -> DataFrame:
-    """Keep ``df`` lazy ("view") or rebuild its table ("table"); return what to read.
+def materialize(df: DataFrame, kind: str, table: VersionedTable | None = None, **options) -> int:
+    """Keep ``df`` lazy ("view") or rebuild its table ("table"); return the rows written.
 
     For the third kind, a table kept up to date by merging, use ``incremental``.
+    ``view=<name>`` registers a view with the session.
     """
     if kind == "view":
-        if view:
-            df.createOrReplaceTempView(view)
-        return df
+        name = options.get("view")
+        if name:
+            df.createOrReplaceTempView(name)
+        return 0
     if kind != "table" or table is None:
         raise ValueError('materialize needs kind "view", or "table" and a table')
-    table.write(df, **options)
-    return table.read()
-
+    return table.write(df, **options)

@@ -221,7 +221,9 @@ def _dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = f"{work_dir(spark)}/raw"
 
     def land(name: str) -> DataFrame:
-        return materialize(files(name), "table", VersionedTable(spark, table_path(landing, name)))
+        table = VersionedTable(spark, table_path(landing, name))
+        materialize(files(name), "table", table)
+        return table.read()
 
     raw = together({name: partial(land, name) for name in RAW_TABLES})
     tables = Warehouse(spark, work_dir(spark)).run(raw.__getitem__, BATCH, keep_bronze=True)

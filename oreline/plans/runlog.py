@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection
+import datetime as dt
+from collections.abc import Callable, Collection, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -121,3 +123,88 @@ def log_results(
     nodes.write(merge_nodes(nodes.read(), results), contract=RUN_LOG_CONTRACTS["dim_dbt_nodes"])
     runs.write(run_facts(results), mode="append", contract=RUN_LOG_CONTRACTS["fct_dbt_runs"])
     return True
+
+
+class RunRecorder:
+    """Notes how each step of one run went, for ``log_results``.
+
+    One row per table, however large the tables are. The clock is an argument so
+    that a run can be repeated to the letter.
+    """
+
+    def __init__(
+        self,
+        invocation_id: str,
+        target_name: str,
+        project: str = "sales",
+        database: str = "",
+        command: str = "build",
+        clock: Callable[[], dt.datetime] = lambda: dt.datetime.now(dt.UTC).replace(tzinfo=None),
+    ):
+        self.invocation_id = invocation_id
+        self.target_name = target_name
+        self.project = project
+        self.database = database
+        self.command = command
+        self.clock = clock
+        self.started = clock()
+        self.steps: list[dict] = []
+
+    @contextmanager
+    def step(self, name: str, schema: str, materialized: str) -> Iterator[dict]:
+        """Time one step; set ``rows_affected`` on the yielded note. Errors are noted and raised."""
+        note = {"name": name, "schema": schema, "materialized": materialized}
+        note |= {"status": "success", "started": self.clock()}
+        try:
+            yield note
+        except Exception as e:
+            note |= {"status": "error", "message": str(e)}
+            raise
+        finally:
+            note["completed"] = self.clock()
+            self.steps.append(note)
+
+    def skip(self, name: str, schema: str, materialized: str) -> None:
+        """Note a step that was not reached; a step already noted stays as it is."""
+        if name not in {s["name"] for s in self.steps}:
+            self.steps.append(
+                {"name": name, "schema": schema, "materialized": materialized, "status": "skipped"}
+            )
+
+    def results(self, spark: SparkSession) -> DataFrame:
+        logged_at = self.clock()
+        rows = []
+        for s in self.steps:
+            started, completed = s.get("started"), s.get("completed")
+            seconds = (completed - started).total_seconds() if started else 0.0
+            rows.append(
+                (
+                    self.invocation_id, f"model.{self.project}.{s['name']}", s["name"], "model",
+                    s["materialized"], self.project, self.database, s["schema"], None,
+                    self.started, self.target_name, self.command, started, completed, None, None,
+                    seconds, s["status"], s.get("rows_affected"), None, s.get("message"), logged_at,
+                )
+            )
+        return spark.createDataFrame(rows, RESULT_SCHEMA)
+
+    def test_results(self, tests: DataFrame) -> DataFrame:
+        """Results of ``data_tests`` as rows of the log."""
+        name = F.concat_ws("_", "check", "table", "column")
+        values = {
+            "invocation_id": F.lit(self.invocation_id),
+            "unique_id": F.concat(F.lit(f"test.{self.project}."), name),
+            "name": name,
+            "resource_type": F.lit("test"),
+            "package_name": F.lit(self.project),
+            "database": F.lit(self.database),
+            "run_started_at": F.lit(self.started).cast("timestamp_ntz"),
+            "target_name": F.lit(self.target_name),
+            "command": F.lit(self.command),
+            "status": F.col("status"),
+            "failures": F.col("failures"),
+            "logged_at": F.lit(self.clock()).cast("timestamp_ntz"),
+        }
+        layout = tests.sparkSession.createDataFrame([], RESULT_SCHEMA).schema
+        return tests.select(
+            *[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in layout]
+        )

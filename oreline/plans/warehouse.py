@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Collection, Iterator, Mapping
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 from oreline.operators import quality
 from oreline.operators.changes import incremental, materialize, together
 from oreline.operators.filters import recent_slice
-from oreline.operators.tables import VersionedTable
+from oreline.operators.tables import VersionedTable, work_dir, written
 from oreline.plans import bronze, gold, silver
+from oreline.plans.runlog import LOGGED_TARGETS, RunRecorder, log_results
 from oreline.schemas import (
     FRESHNESS_DAYS,
     GOLD_CONTRACTS,
     NOT_NULL,
+    RAW_TABLES,
     RELATIONSHIPS,
     UNIQUE,
 )
@@ -127,54 +129,98 @@ class Warehouse:
         recent_days: int | None = None,
         as_of: str | None = None,
         keep_bronze: bool = False,
+        recorder: RunRecorder | None = None,
     ) -> dict[str, DataFrame]:
         """One load: refresh silver by what changed, rebuild gold, return all tables.
 
         Bronze relations stay views, except order headers; ``keep_bronze`` writes
         them all, which pays when they are read again (by the data tests, say).
+        A failed step stops the load; a ``recorder`` notes how every step went.
         """
         lazy = Layers(source, batch_id, recent_days, as_of)
+        recorder = recorder or RunRecorder(batch_id, "")
 
         def bronze_table(name: str) -> DataFrame:
-            kind = "table" if keep_bronze or name == "stg_orders" else "view"
-            return materialize(lazy[name], kind, self.table(name))
+            stored = keep_bronze or name == "stg_orders"
+            kind, target = ("table", self.table(name)) if stored else ("view", None)
+            with recorder.step(name, "bronze", kind) as note:
+                note["rows_affected"] = materialize(lazy[name], kind, target)
+            return target.read() if stored else lazy[name]
 
-        def entity(name: str, changes: DataFrame, build) -> DataFrame:
+        def silver_table(name: str, changes: DataFrame, build, stamp="updated_at", **how) -> DataFrame:
             target = self.table(name)
-            incremental(target, changes, build, "updated_at", full_refresh=full_refresh)
+            with recorder.step(name, "silver", "incremental") as note:
+                note["rows_affected"] = incremental(
+                    target, changes, build, "updated_at", stamp, full_refresh=full_refresh, **how
+                )
             return target.read()
 
-        tables = together({name: partial(bronze_table, name) for name in BRONZE_MODELS})
-        tables["int_product"] = silver.products_with_categories(
-            tables["stg_products"], tables["stg_categories"]
-        )
-        entities = {
-            "ads_customer": (tables["stg_customers"], silver.customers),
-            "ads_product": (tables["int_product"], silver.products),
-            "ads_sales_rep": (tables["stg_sales_reps"], silver.sales_reps),
-        }
-        tables |= together({name: partial(entity, name, *how) for name, how in entities.items()})
-
-        others = [tables[name] for name in entities]
-        orders = self.table("ads_sales_order")
-        incremental(
-            orders,
-            tables["stg_order_lines"],
-            lambda lines: silver.sales_orders(tables["stg_orders"], lines, *others),
-            "updated_at",
-            "order_line_updated_at",
-            build_changes=lambda lines: silver.changed_sales_orders(
-                lines, tables["stg_orders"], *others
-            ),
-            full_refresh=full_refresh,
-        )
-        tables["ads_sales_order"] = orders.read()
-
         def gold_table(name: str, df: DataFrame) -> DataFrame:
-            return materialize(df, "table", self.table(name), contract=GOLD_CONTRACTS[name])
+            target = self.table(name)
+            with recorder.step(name, "gold", "table") as note:
+                contract = GOLD_CONTRACTS[name]
+                note["rows_affected"] = materialize(df, "table", target, contract=contract)
+            return target.read()
 
-        star = gold.build_star(tables)
-        return tables | together({name: partial(gold_table, name, df) for name, df in star.items()})
+        try:
+            tables = together({name: partial(bronze_table, name) for name in BRONZE_MODELS})
+            with recorder.step("int_product", "silver", "view"):
+                tables["int_product"] = silver.products_with_categories(
+                    tables["stg_products"], tables["stg_categories"]
+                )
+            entities = {
+                "ads_customer": (tables["stg_customers"], silver.customers),
+                "ads_product": (tables["int_product"], silver.products),
+                "ads_sales_rep": (tables["stg_sales_reps"], silver.sales_reps),
+            }
+            tables |= together({n: partial(silver_table, n, *how) for n, how in entities.items()})
+
+            orders, others = tables["stg_orders"], [tables[name] for name in entities]
+            tables["ads_sales_order"] = silver_table(
+                "ads_sales_order",
+                tables["stg_order_lines"],
+                lambda lines: silver.sales_orders(orders, lines, *others),
+                "order_line_updated_at",
+                build_changes=lambda lines: silver.changed_sales_orders(lines, orders, *others),
+            )
+            star = gold.build_star(tables)
+            tables |= together({name: partial(gold_table, name, df) for name, df in star.items()})
+        finally:
+            for name in SILVER_KEYS:
+                recorder.skip(name, "silver", "incremental")
+            for name in gold.STAR:
+                recorder.skip(name, "gold", "table")
+        return tables
+
+    def build(
+        self,
+        source: Source,
+        batch_id: str,
+        target_name: str,
+        log_root: str | None = None,
+        log_targets: Collection[str] = LOGGED_TARGETS,
+        **options,
+    ) -> tuple[dict[str, DataFrame], DataFrame]:
+        """Load, test and log: (tables, data-test results).
+
+        The log gets one row per table and per test, for a failed load too.
+        """
+        recorder = RunRecorder(batch_id, target_name, database=self.root)
+
+        def log(results: DataFrame) -> None:
+            if log_root:
+                log_results(self.spark, results, log_root, target_name, log_targets)
+
+        try:
+            tables = self.run(source, batch_id, recorder=recorder, **options)
+        except Exception:
+            log(recorder.results(self.spark))
+            raise
+        raw = {name.split(".")[-1]: source(name) for name in RAW_TABLES}
+        # Tested once: what is logged is what is returned.
+        tests = written(data_tests({**raw, **tables}), f"{work_dir(self.spark)}/tests")
+        log(recorder.results(self.spark).unionByName(recorder.test_results(tests)))
+        return tables, tests
 
 
 def data_tests(tables: Mapping[str, DataFrame]) -> DataFrame:

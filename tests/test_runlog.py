@@ -6,9 +6,12 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+import demo
 from oreline.functions import surrogate_key
+from oreline.operators.quality import ContractViolation
 from oreline.operators.tables import VersionedTable
 from oreline.plans import runlog
+from oreline.plans.warehouse import Warehouse
 from oreline.sources import rows_df
 
 T0 = dt.datetime(2026, 6, 1, 6)
@@ -148,3 +151,44 @@ def test_long_node_ids_are_cut_on_both_sides(spark, results, folder):
     node = VersionedTable(spark, f"{folder}/dim_dbt_nodes").read().first()
     run = VersionedTable(spark, f"{folder}/fct_dbt_runs").read().first()
     assert len(node["dk_dbt_node"]) == 500 and node["sk_dbt_node"] == run["sk_dbt_node"]
+
+
+def test_build_loads_tests_and_logs(spark, folder):
+    raw, log = demo.Raw(spark), f"{folder}/log"
+    warehouse = Warehouse(spark, f"{folder}/wh", buckets=1)
+    tables, tests = warehouse.build(raw, "run-1", "prod", log)
+    assert tables["fact_sales"].count() == 6 and tests.count() == 90
+    runs = VersionedTable(spark, f"{log}/fct_dbt_runs")
+    nodes = VersionedTable(spark, f"{log}/dim_dbt_nodes")
+    assert runs.read().where("is_success").count() == 16 + 90
+    named = runs.read().join(nodes.read(), "sk_dbt_node")
+    assert named.where("node_name = 'fact_sales'").first()["rows_affected"] == 6
+    assert named.where("resource_type = 'test' and failures <> 0").isEmpty()
+
+    # A load that breaks a contract is logged as such, and raised.
+    raw.row("raw_sales.raw_sales_orders", "ORD-1001")[3] = ""
+    with pytest.raises(ContractViolation):
+        warehouse.build(raw, "run-2", "prod", log, full_refresh=True)
+    second = runs.read().where("invocation_id = 'run-2'").join(nodes.read(), "sk_dbt_node")
+    failed = second.where("is_error")
+    assert {r["node_name"] for r in failed.collect()} == {"dim_date", "fact_sales"}
+    assert "breaks its contract" in failed.first()["message"]
+    assert second.count() == 16
+
+    # Other targets keep no log.
+    warehouse.build(demo.Raw(spark), "run-3", "dev", log, full_refresh=True)
+    assert runs.read().where("invocation_id = 'run-3'").isEmpty()
+
+
+def test_steps_not_reached_are_skipped(spark, folder):
+    def source(name):
+        if name == "raw_hr.raw_hr_sales_reps":
+            raise OSError("no such table")
+        return demo.Raw(spark)(name)
+
+    log = f"{folder}/log"
+    with pytest.raises(OSError):
+        Warehouse(spark, f"{folder}/wh", buckets=1).build(source, "run-1", "prod", log)
+    runs = VersionedTable(spark, f"{log}/fct_dbt_runs").read()
+    assert runs.where("is_error").count() == 1
+    assert runs.where("is_skipped").count() == 4 + 5

@@ -16,7 +16,7 @@ from oreline.schemas import RAW_TABLES
 from oreline.sources.trade import LAYOUT, TradeFiles
 
 SF_DIR = "/root/testdata/sf0.001"
-WRITING = {"upsert_merge", "incremental_orders", "dq_summary"}
+WRITING = {"upsert_merge", "incremental_orders", "dq_summary", "star_sales_by_period"}
 
 
 def plan(df) -> str:
@@ -74,8 +74,7 @@ def test_lines_move_for_numbering_products_and_orders_only(spark):
 def test_gold_needs_no_shuffle(spark, folder):
     """From stored silver rows the fact is a filter and a projection, pushed to the scan."""
     layers = Layers(TradeFiles(spark, SF_DIR), "b")
-    layers["ads_sales_order"].write.parquet(f"{folder}/silver")
-    layers.built["ads_sales_order"] = spark.read.parquet(f"{folder}/silver")
+    layers.store("ads_sales_order", f"{folder}/silver")
     text = plan(layers["fact_sales"])
     assert "Exchange" not in text
     assert re.search(r"PushedFilters: \[.*Not\(EqualTo\(status,CANCELLED\)\)", text)

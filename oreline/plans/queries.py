@@ -235,10 +235,8 @@ def _freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sales_by_period(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flagship. Fact and dates both come from the order lines, which are built once."""
-    layers = _layers(spark, sf_dir)
-    layers.store("ads_sales_order", f"{work_dir(spark)}/ads_sales_order")
-    return reports.sales_by_period(layers)
+    """Flagship. The dates need few columns of the order lines, so they are not stored first."""
+    return reports.sales_by_period(_layers(spark, sf_dir))
 
 
 def _customer_recency(spark: SparkSession, sf_dir: str) -> DataFrame:

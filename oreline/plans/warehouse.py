@@ -97,10 +97,6 @@ class Layers(Mapping):
             self.built[name] = self.makers[name]()
         return self.built[name]
 
-    def store(self, name: str, path: str) -> None:
-        """Write a relation that several others read, so that it is built only once."""
-        self.built[name] = written(self[name], path)
-
     def __iter__(self) -> Iterator[str]:
         return iter(self.makers)
 

@@ -95,14 +95,14 @@ def freshness(
     An empty table has no age and counts as an error.
     """
     newest = df.agg(F.max(column).alias("max_loaded_at"))
-    age = F.timestamp_diff("SECOND", F.col("max_loaded_at"), as_of)
+    age = as_of - F.col("max_loaded_at")
     status = (
-        F.when(F.col("max_loaded_at").isNull(), "error")
-        .when(as_of - F.col("max_loaded_at") > F.make_dt_interval(F.lit(error_days)), "error")
-        .when(as_of - F.col("max_loaded_at") > F.make_dt_interval(F.lit(warn_days)), "warn")
+        F.when(age.isNull() | (age > F.make_dt_interval(F.lit(error_days))), "error")
+        .when(age > F.make_dt_interval(F.lit(warn_days)), "warn")
         .otherwise("pass")
     )
-    return newest.select("max_loaded_at", age.alias("age_seconds"), status.alias("status"))
+    seconds = age.cast("interval second").cast("bigint")
+    return newest.select("max_loaded_at", seconds.alias("age_seconds"), status.alias("status"))
 
 
 # --- contracts -----------------------------------------------------------------------

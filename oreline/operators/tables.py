@@ -21,6 +21,7 @@ the size of the table.
 from __future__ import annotations
 
 import json
+import tempfile
 import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass, field, replace
@@ -360,11 +361,16 @@ def _with_more(dirs: dict[int, list[str]], more: dict[int, str]) -> dict[int, li
 
 
 def work_dir(spark: SparkSession) -> str:
-    """A fresh folder below the shared checkpoint folder the session names."""
+    """A fresh folder below the shared checkpoint folder the session names.
+
+    Only a single-machine session may do without one.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     root = root or spark.sparkContext.getCheckpointDir()
     if not root:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        root = tempfile.gettempdir()
     return f"{root.rstrip('/')}/oreline-{uuid.uuid4().hex}"
 
 

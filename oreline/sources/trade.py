@@ -187,13 +187,13 @@ class TradeFiles:
         named = self.table("events").selectExpr(
             "*",
             "event_type || '_' || user_id as node",
-            "cast(date_trunc('day', ts) as timestamp_ntz) as day",
+            "cast(cast(ts as date) as timestamp_ntz) as day",
             "pmod(dayofmonth(ts), 2) = 1 as odd_day",
             "event_type not in ('error', 'purchase') as ran",
             "event_type <> 'purchase' as compiled",
         )
         return named.selectExpr(
-            "'run-' || date_format(ts, 'yyyy-MM-dd') as invocation_id",
+            "'run-' || cast(ts as date) as invocation_id",
             "'model.shop.' || node as unique_id",
             "node as name",
             "case when event_type = 'signup' then 'test' else 'model' end as resource_type",

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from oreline.operators.dedup import latest_per_key
 from oreline.operators.filters import newer_than
+from oreline.operators.lookups import only_matching
 from oreline.operators.tables import written
+from oreline.plans import silver
 from oreline.plans.queries import AS_OF
 from oreline.plans.warehouse import Layers
 from oreline.schemas import RAW_TABLES
@@ -122,6 +124,29 @@ def test_hot_order_and_hot_customer(spark, folder):
     assert orders.where("product_pk = 0").count() == lines.where("l_partkey = -1").count()
 
 
+def test_small_change_set_leaves_big_tables_in_place(spark, folder):
+    """Big = above the broadcast limit. The changes are broadcast to it, never the reverse."""
+    layers = Layers(TradeFiles(spark, SF_DIR), "b")
+    orders = written(layers["stg_orders"], f"{folder}/orders")
+    customers = written(layers["ads_customer"], f"{folder}/customers")
+    few = layers["stg_order_lines"].where("order_id = '6'").coalesce(1)
+    lines = written(few, f"{folder}/lines")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10KB")
+    try:
+        joined = silver._lines(lines).join(silver._headers(orders), "sales_order_pk")
+        text = plan(joined)
+        assert "Exchange hashpartitioning" not in text and "BuildLeft" in text
+        rows = written(joined.coalesce(1), f"{folder}/joined")
+        text = plan(only_matching(customers, "customer_id", rows))
+        assert "LeftSemi, BuildRight" in text
+        assert text.count("Exchange hashpartitioning") == 1  # of the few wanted keys
+        # The plain lookup, with all customers, would have to move them.
+        assert "SortMergeJoin" in plan(customers.join(orders, "customer_id"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_every_raw_table_has_a_view(spark):
     files = TradeFiles(spark, SF_DIR)
     for name, columns in RAW_TABLES.items():

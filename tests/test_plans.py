@@ -128,7 +128,6 @@ def test_small_change_set_leaves_big_tables_in_place(spark, folder):
     """Big = above the broadcast limit. The changes are broadcast to it, never the reverse."""
     layers = Layers(TradeFiles(spark, SF_DIR), "b")
     orders = written(layers["stg_orders"], f"{folder}/orders")
-    customers = written(layers["ads_customer"], f"{folder}/customers")
     few = layers["stg_order_lines"].where("order_id = '6'").coalesce(1)
     lines = written(few, f"{folder}/lines")
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
@@ -138,11 +137,11 @@ def test_small_change_set_leaves_big_tables_in_place(spark, folder):
         text = plan(joined)
         assert "Exchange hashpartitioning" not in text and "BuildLeft" in text
         rows = written(joined.coalesce(1), f"{folder}/joined")
-        text = plan(only_matching(customers, "customer_id", rows))
+        text = plan(only_matching(orders, "customer_id", rows))
         assert "LeftSemi, BuildRight" in text
         assert text.count("Exchange hashpartitioning") == 1  # of the few wanted keys
-        # The plain lookup, with all customers, would have to move them.
-        assert "SortMergeJoin" in plan(customers.join(orders, "customer_id"))
+        # The orders themselves are over the limit: joined as they are, they move.
+        assert "SortMergeJoin" in plan(orders.join(orders.alias("again"), "sales_order_pk"))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 

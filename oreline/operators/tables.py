@@ -21,7 +21,6 @@ the size of the table.
 from __future__ import annotations
 
 import json
-import tempfile
 import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass, field, replace
@@ -361,16 +360,14 @@ def _with_more(dirs: dict[int, list[str]], more: dict[int, str]) -> dict[int, li
 
 
 def work_dir(spark: SparkSession) -> str:
-    """A fresh folder below the shared checkpoint folder the session names.
+    """A fresh folder in storage that all executors share.
 
-    Only a single-machine session may do without one.
+    Below ``spark.checkpoint.dir`` where the session names one, else below the
+    warehouse; never in a machine's own temporary folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     root = root or spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.gettempdir()
+    root = root or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/oreline-{uuid.uuid4().hex}"
 
 

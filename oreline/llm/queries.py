@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreline.llm import line_rules, minhash, mixing, pieces, quality_classifier, suffix_dedup, vectors
+from oreline.llm import (
+    chat,
+    html_text,
+    line_rules,
+    minhash,
+    mixing,
+    pieces,
+    quality_classifier,
+    sharding,
+    suffix_dedup,
+    vectors,
+)
 from oreline.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,6 +26,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Fixed values of the registered queries.
 GOOD_SCORE = 0.7
 REPEAT_BYTES = 400
+SHARD_BYTES = 1 << 20
+# The tool that turns of a conversation call.
+REPLY_SCHEMA = "values ('reply', 'text', 'string', true), ('reply', 'turn', 'integer', true)"
 PIECES = "piece_bpe_32k.model"
 
 
@@ -40,6 +54,22 @@ def _quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sizes = documents(spark, sf_dir).select("doc_id", sharding.byte_size(F.col("text")).alias("n_bytes"))
+    return sharding.assign_shards(sizes, SHARD_BYTES)
+
+
+def _chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    calls, results = chat.calls_of(turns)
+    schemas = spark.sql(f"select * from {REPLY_SCHEMA} as t(tool, field, type, required)")
+    return chat.link_calls(calls, results, schemas)
+
+
+def _html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def _line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = line_rules.clean(documents(spark, sf_dir).select("doc_id", "text"))
     return rules.drop("text", "clean_text")
@@ -71,8 +101,11 @@ def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_classifier": _quality_classifier,
+        "op2_sharding": _sharding,
+        "op3_chat": _chat,
         "op4_line_rules": _line_rules,
         "op5_mixing": _mixing,
+        "op6_html_text": _html_text,
         "op7_sentencepiece": _pieces,
         "op8_suffix_dedup": _suffix_dedup,
         "op9_minhash": _minhash,

@@ -1,7 +1,65 @@
-"""DuckDB twins of the queries that SQL can express."""
+"""DuckDB twins of the queries that SQL can express.
+
+The classifier, sketches, suffix arrays, graphs, pieces, pages and the shuffled
+schedule have none; they are tested against brute force. The window counts of the
+line rules are too slow in SQL on whole texts and are tested likewise.
+"""
 
 from __future__ import annotations
 
+from oreline.llm.queries import SHARD_BYTES
+from oreline.llm.sharding import HASH_BITS
+
+SHARDING = f"""
+with sized as (
+  select doc_id, octet_length(encode(coalesce(text, ''))) as n_bytes,
+    cast('0x' || substr(md5(coalesce(cast(doc_id as varchar), 'null')), 1, 15) as bigint) as h
+  from documents),
+each as (select *, unnest(range(0, {HASH_BITS + 1})) as depth from sized),
+cut as (select *, cast(h >> ({HASH_BITS} - depth) as bigint) as bucket from each),
+sums as (
+  select depth, bucket, cast(sum(n_bytes) as bigint) as shard_bytes from cut group by all),
+fits as (
+  select c.doc_id, c.h, c.n_bytes, c.depth, c.bucket, s.shard_bytes,
+    row_number() over (partition by c.doc_id, c.h order by c.depth) as k
+  from cut c join sums s using (depth, bucket) where s.shard_bytes <= {SHARD_BYTES})
+select doc_id, cast(n_bytes as bigint) as n_bytes, cast(depth as integer) as depth,
+  case when depth = 0 then '' else right(lpad(bin(bucket), 64, '0'), cast(depth as integer)) end
+    as shard_id,
+  shard_bytes
+from fits where k = 1
+"""
+
+CHAT = """
+with seen as (
+  select conv_id, turn, role, text,
+    last_value(case when role = 'user' then turn end ignore nulls)
+      over (partition by conv_id order by turn, role, text) as call_turn,
+    count(case when role = 'user' then 1 end)
+      over (partition by conv_id order by turn, role, text) - 1 as level
+  from conversations),
+calls as (
+  select 'call-' || conv_id || '-' || turn as call_id, turn, text, level from seen
+  where role = 'user'),
+answers as (
+  select 'call-' || conv_id || '-' || coalesce(call_turn, turn) as call_id,
+    min(turn) as result_turn, count(*) as n_results, arg_min(text, turn) as content
+  from seen where role = 'assistant' group by all)
+select coalesce(c.call_id, a.call_id) as call_id,
+  case when c.call_id is not null then 'reply' end as tool,
+  c.level, a.result_turn, coalesce(a.n_results, 0) as n_results,
+  case when c.call_id is null then 'orphan' when a.call_id is null then 'unanswered'
+    else 'linked' end as status,
+  case when c.call_id is not null then true end as valid,
+  case when c.call_id is not null then '' end as errors,
+  case when c.call_id is not null then
+    '{"arguments":{"text":' || cast(to_json(c.text) as varchar) || ',"turn":' || c.turn
+    || '},"id":"' || c.call_id || '","level":' || c.level
+    || case when a.content is null then '' else ',"result":' || cast(to_json(a.content) as varchar) end
+    || ',"tool":"reply"}' end as json
+from calls c full join answers a on c.call_id = a.call_id
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_sharding": SHARDING, "op3_chat": CHAT}

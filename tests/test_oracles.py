@@ -7,10 +7,12 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+import oracles
 from compare import duck, mismatch
+from oreline.plans import queries as registered
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, TWINS = entry.queries(), entry.oracle_sql()
+QUERIES, TWINS = registered.queries(), oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -27,5 +29,10 @@ def test_query_matches_its_twin(spark, con, name):
     assert mismatch(QUERIES[name](spark, SF_DIR), con, TWINS[name]) is None
 
 
+def test_the_driver_sees_all_of_them():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(TWINS) <= set(entry.oracle_sql())
+
+
 def test_flagship_returns_rows(spark):
     assert entry.entry(spark).count() > 0

@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -126,9 +127,17 @@ class _Hashes:
         self.sums = np.zeros(n, np.uint64)
         np.cumsum(_BYTE_HASH[data] * self._powers[: n - 1], out=self.sums[1:])
 
-    def of(self, start, end, salt: int = 0) -> np.ndarray:
+    def grams(self, width: int, n: int) -> np.ndarray:
+        """Hashes of the first ``n`` strings of ``width`` bytes."""
+        x = self.sums[width : width + n] - self.sums[:n]
+        x *= self._inverses[:n]
+        x ^= x >> np.uint64(31)
+        x *= np.uint64(0xBF58476D1CE4E5B9)
+        return x
+
+    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         x = (self.sums[end] - self.sums[start]) * self._inverses[start]
-        x = x + (end - start).astype(np.uint64) * np.uint64(_ODD) + np.uint64(salt)
+        x = x + (end - start).astype(np.uint64) * np.uint64(_ODD)
         x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
         x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
         return x ^ (x >> np.uint64(32))
@@ -151,9 +160,9 @@ def anchors(data: np.ndarray, length: int) -> dict[str, np.ndarray]:
         piece = data[first : first + SEGMENT + length - 1]
         windows = len(piece) - length + 1
         hashes = _Hashes(piece)
-        place = np.arange(windows + search - 1)
-        rank = hashes.of(place, place + gram) & np.uint64(0xFFFFFFFF00000000)
-        rank |= place.astype(np.uint64)
+        rank = hashes.grams(gram, windows + search - 1)
+        rank &= np.uint64(0xFFFFFFFF00000000)
+        rank |= np.arange(len(rank), dtype=np.uint64)
         table = np.full(-(-len(rank) // search) * search, 2**64 - 1, np.uint64)
         table[: len(rank)] = rank
         table = table.reshape(-1, search)
@@ -207,21 +216,18 @@ def _piece_rows(wanted: DataFrame, length: int) -> DataFrame:
                 batch["key"].astype("Int64"), batch["mark"], batch["text"], batch["chosen"]
             ):
                 data, out = _bytes(text), []
-                whole = np.frombuffer(data, np.uint8)
                 for row in chosen:
                     at, low, high = row["at"], row["low"], row["high"]
-                    edge = max(0, at - length)
-                    hashes = _Hashes(whole[edge : at + 2 * length])
                     for piece in range((at - high) // PIECE, (at - low) // PIECE + 1):
                         near, far = piece * PIECE, piece * PIECE + PIECE - 1
                         begin, end = at - near, at - far + length
-                        core = hashes.of(np.array([begin - edge]), np.array([end - edge]), piece)
+                        core = xxhash.xxh3_64_intdigest(data[begin:end], seed=piece)
                         out.append(
                             (
                                 key,
                                 mark,
                                 at,
-                                int(core.view(np.int64)[0]),
+                                core - (1 << 63),
                                 near,
                                 max(near, at - high),
                                 min(far, at - low),

@@ -187,21 +187,27 @@ def _bytes(text: str | None) -> bytes:
 def _anchor_rows(rows: DataFrame, length: int) -> DataFrame:
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out, n = [], 0
-            for key, mark, text in zip(batch["key"].astype("Int64"), batch["mark"], batch["text"]):
+            out, owner, n = [], [], 0
+            keys = batch["key"].astype("Int64")
+
+            def table() -> pd.DataFrame:
+                rows = np.repeat(owner, [len(x["at"]) for x in out])
+                joined = {c: np.concatenate([x[c] for x in out]) for c in out[0]}
+                heads = {"key": keys.to_numpy()[rows], "mark": batch["mark"].to_numpy()[rows]}
+                return pd.DataFrame(heads | joined).astype({"key": "Int64"})
+
+            for k, text in enumerate(batch["text"]):
                 data = _bytes(text)
                 if len(data) < length:
                     continue
-                found = pd.DataFrame(anchors(np.frombuffer(data, np.uint8), length))
-                found.insert(0, "key", pd.array([key] * len(found), "Int64"))
-                found.insert(1, "mark", mark)
-                out.append(found)
-                n += len(found)
+                out.append(anchors(np.frombuffer(data, np.uint8), length))
+                owner.append(k)
+                n += len(out[-1]["at"])
                 if n > 100_000:
-                    yield pd.concat(out)
-                    out, n = [], 0
+                    yield table()
+                    out, owner, n = [], [], 0
             if out:
-                yield pd.concat(out)
+                yield table()
 
     schema = "key long, mark long, at long, low long, high long, core long, span long"
     return rows.mapInPandas(find, schema)
@@ -211,11 +217,16 @@ def _piece_rows(wanted: DataFrame, length: int) -> DataFrame:
     """Pieces of the windows of chosen anchors: flanks and the hash of the core."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = ["key", "mark", "at", "core", "near", "first", "last", "left", "right"]
         for batch in batches:
+            out: list[tuple] = []
             for key, mark, text, chosen in zip(
                 batch["key"].astype("Int64"), batch["mark"], batch["text"], batch["chosen"]
             ):
-                data, out = _bytes(text), []
+                if len(out) > 50_000:
+                    yield pd.DataFrame(out, columns=columns).astype({"key": "Int64"})
+                    out = []
+                data = _bytes(text)
                 for row in chosen:
                     at, low, high = row["at"], row["low"], row["high"]
                     for piece in range((at - high) // PIECE, (at - low) // PIECE + 1):
@@ -235,10 +246,8 @@ def _piece_rows(wanted: DataFrame, length: int) -> DataFrame:
                                 data[end : at - near + length],
                             )
                         )
-                yield pd.DataFrame(
-                    out,
-                    columns=["key", "mark", "at", "core", "near", "first", "last", "left", "right"],
-                ).astype({"key": "Int64"})
+            if out:
+                yield pd.DataFrame(out, columns=columns).astype({"key": "Int64"})
 
     schema = (
         "key long, mark long, at long, core long, near long, first long, last long, "

@@ -141,11 +141,13 @@ def calls_of(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     user = F.when(F.col("role") == "user", F.col("turn"))
     seen = turns.withColumn("call_turn", F.last(user, ignorenulls=True).over(line))
     before = F.last(user, ignorenulls=True).over(line.rowsBetween(Window.unboundedPreceding, -1))
-    seen = seen.withColumn("needs_turn", before)
+    # Not a constant: joins by tool stay hash joins.
+    tool = F.when(F.col("role") == "user", F.lit("reply"))
+    seen = seen.withColumns({"needs_turn": before, "tool": tool})
     name = lambda turn: F.concat_ws("-", F.lit("call"), "conv_id", turn)
     calls = seen.where("role = 'user'").select(
         name("turn").alias("call_id"),
-        F.lit("reply").alias("tool"),
+        "tool",
         F.to_json(F.struct(F.col("turn"), F.col("text"))).alias("arguments"),
         F.when(F.col("needs_turn").isNull(), F.array().cast("array<string>"))
         .otherwise(F.array(name("needs_turn")))

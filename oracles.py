@@ -57,22 +57,19 @@ CTES: dict[str, str] = {
                o_orderdate + interval 8 hour as updated_at,
                o_orderdate + interval 1 day as _loaded_at
         from orders""",
-    "numbered": """
-        select *, (date_diff('day', date '1990-01-01', cast(l_shipdate as date)) % 4096) * 8
-                  + l_linenumber % 8 as slot
-        from lineitem""",
     "raw_lines": """
         select cast(l_orderkey as varchar) as order_id,
-               cast((row_number() over (partition by l_orderkey, slot
-                       order by l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount,
-                                l_tax, l_returnflag, l_linestatus, l_shipdate, l_linenumber) - 1)
-                    * 32768 + slot as integer) as line_id,
+               cast((row_number() over (partition by l_orderkey, l_shipdate
+                       order by l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
+                                l_discount, l_tax, l_returnflag, l_linestatus) - 1) * 16384
+                    + date_diff('day', date '1990-01-01', cast(l_shipdate as date)) as integer)
+                 as line_id,
                cast(l_partkey as varchar) as product_id, cast(l_quantity as integer) as quantity,
                cast(l_extendedprice as decimal(18,2)) as unit_price,
                cast(cast(l_extendedprice as decimal(18,2)) * cast(l_discount as decimal(4,2))
                     as decimal(18,2)) as discount_amount,
                l_shipdate as updated_at, l_shipdate + interval 1 day as _loaded_at
-        from numbered""",
+        from lineitem""",
     "raw_reps": f"""
         select cast(s_suppkey as varchar) as sales_rep_id, s_name as sales_rep_name,
                r_name as region, n_name as team_name, 'Manager of ' || n_name as manager_name,
@@ -485,8 +482,7 @@ def oracle_sql() -> dict[str, str]:
         "surrogate_key": _surrogate_key(),
         "key_lookup": _key_lookup(),
         "watermark_value": with_ctes(
-            f"""select max(updated_at) as max_updated_at from stg_order_lines
-                where updated_at <= timestamp '{SPLIT}'"""
+            "select max(updated_at) as max_updated_at from stg_order_lines"
         ),
         "watermark_filter": with_ctes(
             f"select * from stg_order_lines where updated_at > timestamp '{SPLIT}'"

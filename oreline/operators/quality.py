@@ -190,9 +190,14 @@ def summarize(
     """(check, table, column, failures, status), one row per check, in one job.
 
     All not-null columns and row rules of a table share one scan. A unique check
-    costs one shuffle of its column, a foreign key one of its distinct values.
+    costs one shuffle of its column, a foreign key one of its distinct values. A
+    table that a check names must be given: pass fewer checks to test fewer tables.
     """
     rules = dict(rules or {})
+    named = {*not_null_columns, *unique_columns, *(table for _, table, _ in rules)}
+    named |= {table for child, _, parent, _ in foreign_keys for table in (child, parent)}
+    if named - set(tables):
+        raise ValueError(f"checks name tables that are not given: {sorted(named - set(tables))}")
     parts = []
     for name, df in tables.items():
         counted = {

@@ -74,9 +74,9 @@ def dim_sales_rep(ads_sales_rep: DataFrame) -> DataFrame:
     return with_unknown_member(members, UNKNOWN_SALES_REP)
 
 
-def dim_date(ads_sales_order: DataFrame) -> DataFrame:
-    """One row per order date, those of cancelled orders included."""
-    dates = ads_sales_order.select(F.col("order_date").alias("date_value")).distinct()
+def dim_date(orders: DataFrame) -> DataFrame:
+    """One row per date of the orders that have lines, cancelled ones included."""
+    dates = orders.select(F.col("order_date").alias("date_value")).distinct()
     key = date_key("date_value").alias("date_key")
     return dates.select(key, "date_value", *calendar_parts("date_value"))
 

@@ -76,7 +76,7 @@ def _key_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _watermark_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _layers(spark, sf_dir)["stg_order_lines"]
-    return max_value(lines.where(F.col("updated_at") <= _split()), "updated_at")
+    return max_value(lines, "updated_at")
 
 
 def _watermark_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

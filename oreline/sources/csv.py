@@ -63,13 +63,9 @@ def read_typed_csv(spark: SparkSession, path: str, schema: T.StructType) -> Data
     """
     options = {"header": True, "nullValue": "", "escape": '"', "mode": "FAILFAST"}
     header = spark.read.options(**options).csv(path).columns
-    missing = [f.name for f in schema if f.name not in header]
-    unexpected = [name for name in header if name not in schema.names]
-    if missing or unexpected:
-        raise HeaderMismatch(
-            f"{path} does not match its declared columns "
-            f"(missing: {missing or 'none'}, unexpected: {unexpected or 'none'})"
-        )
+    if differing := set(header).symmetric_difference(schema.names):
+        sides = (f"{c} ({'declared only' if c in schema.names else 'file only'})" for c in differing)
+        raise HeaderMismatch(f"header of {path} and its schema differ in: {', '.join(sorted(sides))}")
     # The names are right, so pin this order for every file of the path: a file
     # with its header in another order is refused instead of misread.
     as_text = T.StructType([T.StructField(name, T.StringType()) for name in header])
@@ -94,12 +90,11 @@ def ingest(
     """
     specs = dict(specs or {name: raw_schema(name) for name in RAW_TABLES})
     if tables is not None:
-        wanted = set(tables)
-        known = {name.split(".")[-1]: name for name in specs} | {name: name for name in specs}
-        unknown = sorted(wanted - set(known))
-        if unknown:
-            raise ValueError(f"unknown table(s): {', '.join(unknown)}")
-        chosen = {known[name] for name in wanted}
+        tables = list(tables)
+        by_name = {alias: name for name in specs for alias in (name, name.rpartition(".")[2])}
+        chosen = {by_name.get(t) for t in tables}
+        if None in chosen:
+            raise ValueError(f"no layout is declared for some of {sorted(set(tables))}")
         specs = {name: schema for name, schema in specs.items() if name in chosen}
 
     frames = {

@@ -39,8 +39,9 @@ REP_NUMBERS = 110
 UNMAPPED_TYPE = "PROMO"
 CORE_TYPES = "'ECONOMY', 'STANDARD'"
 MAPPING_STAMP = "2001-11-01 00:00:00"
-LINE_SLOT_START = "1990-01-01"
-LINE_SLOT_DAYS = 4096
+LINE_DAY_START = "1990-01-01"
+LINE_DAYS = 16384
+LINE_REPEATS = 131072
 
 
 def _minutes_after(start: str, key: str) -> str:
@@ -126,24 +127,29 @@ class TradeFiles:
 
         The files repeat line numbers within an order. Numbering each order from
         one would gather a whole order in one task, however large; numbering it
-        per ship day and given number, and composing the three, gives a unique
-        number without that.
+        per ship day gives a unique number without that, and lets a filter on the
+        ship date reach the scan. There is room for 131,072 lines of an order and
+        day, and for whole ship days from 1990 to 2034; others raise an error.
         """
-        day = f"pmod(datediff(l_shipdate, date'{LINE_SLOT_START}'), {LINE_SLOT_DAYS})"
-        slots = self.table("lineitem").selectExpr(
-            "*", f"cast({day} * 8 + pmod(l_linenumber, 8) as bigint) as slot"
-        )
         # Numbered before anything is derived, so the shuffle carries plain columns.
-        numbered = slots.selectExpr(
+        numbered = self.table("lineitem").selectExpr(
             "*",
-            """row_number() over (partition by l_orderkey, slot
-                 order by l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
-                          l_returnflag, l_linestatus, l_shipdate, l_linenumber) - 1 as repeat""",
+            """row_number() over (partition by l_orderkey, l_shipdate
+                 order by l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
+                          l_discount, l_tax, l_returnflag, l_linestatus) - 1 as repeat""",
         )
+        day = f"datediff(l_shipdate, date'{LINE_DAY_START}')"
+        fits = f"""{day} between 0 and {LINE_DAYS - 1} and repeat < {LINE_REPEATS}
+            and l_shipdate = cast(cast(l_shipdate as date) as timestamp_ntz)"""
+        refused = f"""raise_error('order ' || l_orderkey || ': no line number for ship date '
+            || l_shipdate || ' and line ' || repeat || ' of it')"""
+        line_id = f"""case when l_shipdate is null or {fits}
+            then cast(repeat * {LINE_DAYS}L + coalesce({day}, 0) as int)
+            else cast({refused} as int) end as line_id"""
         price = "cast(l_extendedprice as decimal(18,2))"
         return numbered.selectExpr(
             "cast(l_orderkey as string) as order_id",
-            f"cast(repeat * {LINE_SLOT_DAYS * 8}L + slot as int) as line_id",
+            line_id,
             "cast(l_partkey as string) as product_id",
             "cast(l_quantity as int) as quantity",
             f"{price} as unit_price",

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from oreline.operators.changes import incremental, scd1_seen
-from oreline.operators.tables import VersionedTable
+from oreline.operators.tables import VersionedTable, work_dir
 from oreline.sources import rows_df
 
 SCHEMA = "k bigint, at timestamp_ntz, v string"
@@ -28,7 +27,7 @@ def _stamp(load: int):
 @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 @given(HISTORY)
 def test_increments_equal_full_refresh(spark, history):
-    table = VersionedTable(spark, f"{tempfile.mkdtemp()}/t", key="k", buckets=3)
+    table = VersionedTable(spark, f"{work_dir(spark)}/t", key="k", buckets=3)
     source: dict[int, tuple] = {}
     for load, edits in enumerate(history):
         source |= {k: (k, _stamp(load), v) for k, v in edits.items()}

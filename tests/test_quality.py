@@ -113,6 +113,13 @@ def test_contract_check(spark):
     ]
 
 
+def test_a_check_of_a_missing_table_is_an_error(child):
+    with pytest.raises(ValueError, match="parent"):
+        q.summarize({"child": child}, {"child": ["id"]}, {}, [("child", "fk", "parent", "k")])
+    with pytest.raises(ValueError, match="other"):
+        q.summarize({"child": child}, {"other": ["id"]}, {})
+
+
 def test_summary(child, parent):
     got = q.summarize(
         {"child": child, "parent": parent},

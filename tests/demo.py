@@ -1,4 +1,4 @@
-"""A tiny raw data set: four customers, four products, five orders, seven lines."""
+"""A small tea shop as raw data: nine lines of five orders, and an order without lines."""
 
 from __future__ import annotations
 
@@ -9,47 +9,53 @@ from decimal import Decimal
 
 from oreline.schemas import RAW_TABLES, raw_schema
 
-LOADED = "2026-06-01T06:00:00"
+LOADED = "2026-04-02T05:30:00"
 
+# Cases: codes in mixed case, a country without a name, an empty city, a customer
+# and a product nobody orders, a product taken off sale, a year's last ISO week,
+# two orders on one day, a cancelled order of two lines, a second currency.
 ROWS: dict[str, list[list[str]]] = {
     "raw_sales.raw_sales_customers": [
-        ["CUST-001", "Ann One", "Ann.One@Example.com", "BE", "Antwerp", "2025-01-08T09:00:00", "2026-05-10T08:30:00"],
-        ["CUST-002", "Bob Two", "bob.two@example.com", "nl", "Rotterdam", "2025-02-18T10:15:00", "2026-05-12T11:00:00"],
-        ["CUST-003", "Cat Three", "cat.three@example.com", "FR", "Lille", "2025-03-20T13:40:00", "2026-05-17T14:15:00"],
-        ["CUST-004", "Dan Four", "dan.four@example.com", "BE", "Ghent", "2025-04-01T08:20:00", "2026-05-19T09:10:00"],
+        ["C71", "Noor Haddad", "NOOR@shop.test", "be", "Mechelen", "2023-11-02T07:45:00", "2026-03-02T07:45:00"],
+        ["C72", "Ola Berg", "ola@shop.test", "LU", "Vianden", "2024-02-29T22:10:00", "2026-01-15T06:00:00"],
+        ["C73", "Pim de Wit", "Pim.de.Wit@shop.test", "NL", "", "2024-06-30T00:00:00", "2026-03-05T16:25:00"],
+        ["C74", "Quin Roux", "quin@shop.test", "Fr", "Arles", "2025-10-10T10:10:10", "2025-10-10T10:10:10"],
+        ["C75", "Rae, the \"tea\" fan", "rae@shop.test", "BE", "Dinant", "2025-12-31T23:59:59", "2025-12-31T23:59:59"],
     ],
     "raw_sales.raw_sales_products": [
-        ["PROD-001", "Product one", "ANL", "1200.00", "2025-01-01", "", "2026-05-01T10:00:00"],
-        ["PROD-002", "Product two", "SRV", "6500.00", "2025-01-01", "", "2026-05-01T10:00:00"],
-        ["PROD-003", "Product three", "MDM", "950.00", "2025-01-01", "", "2026-05-01T10:00:00"],
-        ["PROD-004", "Product four", "GOV", "1800.00", "2025-01-01", "", "2026-05-01T10:00:00"],
+        ["P300", "Green tea", "TEA", "4.75", "2022-05-15", "", "2026-02-11T13:00:00"],
+        ["P301", "Iron pot", "POT", "38.90", "2022-05-15", "", "2026-02-11T13:00:00"],
+        ["P302", "Linen bag", "BAG", "9.99", "2023-09-01", "2026-03-31", "2026-03-20T08:30:00"],
+        ["P303", "Smoked tea", "TEA", "6.20", "2024-01-20", "", "2026-02-11T13:00:00"],
+        ["P304", "Glass pot", "POT", "21.00", "2026-03-01", "", "2026-02-27T17:45:00"],
     ],
     "raw_sales.raw_sales_orders": [
-        ["ORD-1001", "CUST-001", "REP-01", "2026-05-03", "INVOICED", "EUR", "2026-05-03T17:00:00"],
-        ["ORD-1002", "CUST-002", "REP-02", "2026-05-05", "INVOICED", "EUR", "2026-05-05T17:30:00"],
-        ["ORD-1003", "CUST-003", "REP-02", "2026-05-08", "OPEN", "EUR", "2026-05-08T12:00:00"],
-        ["ORD-1004", "CUST-004", "REP-03", "2026-05-11", "cancelled", "EUR", "2026-05-11T16:30:00"],
-        ["ORD-1005", "CUST-001", "REP-01", "2026-05-14", "INVOICED", "EUR", "2026-05-14T18:00:00"],
+        ["S-11", "C71", "R5", "2025-12-30", "INVOICED", "EUR", "2025-12-30T15:20:00"],
+        ["S-12", "C73", "R6", "2026-01-02", "invoiced", "EUR", "2026-01-02T09:05:00"],
+        ["S-13", "C72", "R5", "2026-02-28", "OPEN", "USD", "2026-02-28T18:40:00"],
+        ["S-14", "C74", "R6", "2026-02-28", "Cancelled", "EUR", "2026-03-01T08:00:00"],
+        ["S-15", "C71", "R6", "2026-03-09", "INVOICED", "EUR", "2026-03-09T12:10:00"],
+        ["S-16", "C74", "R5", "2026-03-10", "OPEN", "EUR", "2026-03-10T19:55:00"],
     ],
     "raw_sales.raw_sales_order_lines": [
-        ["ORD-1001", "1", "PROD-001", "2", "1200.00", "0.00", "2026-05-03T17:00:00"],
-        ["ORD-1001", "2", "PROD-003", "1", "950.00", "50.00", "2026-05-03T17:00:00"],
-        ["ORD-1002", "1", "PROD-002", "1", "6500.00", "500.00", "2026-05-05T17:30:00"],
-        ["ORD-1003", "1", "PROD-004", "2", "1800.00", "0.00", "2026-05-08T12:00:00"],
-        ["ORD-1004", "1", "PROD-001", "1", "1200.00", "0.00", "2026-05-11T16:30:00"],
-        ["ORD-1005", "1", "PROD-002", "1", "6500.00", "650.00", "2026-05-14T18:00:00"],
-        ["ORD-1005", "2", "PROD-003", "3", "950.00", "0.00", "2026-05-14T18:00:00"],
+        ["S-11", "1", "P300", "12", "4.75", "0.00", "2025-12-30T15:20:00"],
+        ["S-11", "2", "P301", "1", "38.90", "3.90", "2025-12-30T15:21:00"],
+        ["S-11", "3", "P302", "2", "9.99", "0.00", "2025-12-30T15:22:00"],
+        ["S-12", "1", "P301", "3", "38.90", "11.70", "2026-01-02T09:05:00"],
+        ["S-13", "1", "P303", "40", "6.20", "0.00", "2026-02-28T18:40:00"],
+        ["S-14", "1", "P300", "6", "4.75", "0.00", "2026-02-28T20:00:00"],
+        ["S-14", "2", "P303", "1", "6.20", "0.00", "2026-03-01T08:00:00"],
+        ["S-15", "1", "P302", "5", "9.99", "4.95", "2026-03-09T12:10:00"],
+        ["S-15", "2", "P300", "100", "4.75", "75.00", "2026-03-09T12:10:00"],
     ],
     "raw_hr.raw_hr_sales_reps": [
-        ["REP-01", "Eve Five", "North", "Team A", "Max Boss", "2026-05-02T09:00:00"],
-        ["REP-02", "Fay Six", "South", "Team A", "Max Boss", "2026-05-02T09:00:00"],
-        ["REP-03", "Gus Seven", "East", "Team B", "Lea Boss", "2026-05-02T09:00:00"],
+        ["R5", "Sol Vega", "Coast", "Counter", "Tess Umber", "2026-02-01T00:30:00"],
+        ["R6", "Uma Lind", "Hills", "Market", "Tess Umber", "2026-03-01T00:30:00"],
     ],
     "mdm.mdm_product_category_mapping": [
-        ["ANL", "Analytics", "Platform", "1", "owner@example.com", "2025-01-01", "", "2026-05-20T10:00:00"],
-        ["SRV", "Services", "Services", "1", "owner@example.com", "2025-01-01", "", "2026-05-20T10:00:00"],
-        ["MDM", "Master data", "Platform", "1", "owner@example.com", "2025-01-01", "", "2026-05-20T10:00:00"],
-        ["GOV", "Governance", "Advisory", "0", "owner@example.com", "2025-01-01", "", "2026-05-20T10:00:00"],
+        ["TEA", "Leaves", "Drinks", "1", "buyer@shop.test", "2022-01-01", "", "2026-01-31T12:00:00"],
+        ["POT", "Pots", "Goods", "1", "buyer@shop.test", "2022-01-01", "", "2026-01-31T12:00:00"],
+        ["BAG", "Bags", "Goods", "0", "maker@shop.test", "2023-08-01", "", "2026-01-31T12:00:00"],
     ],
 }
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from decimal import Decimal
+from hashlib import sha256
 
 import pytest
 from pyspark.sql import functions as F
@@ -21,24 +22,30 @@ PRODUCTS = "raw_sales.raw_sales_products"
 CUSTOMERS = "raw_sales.raw_sales_customers"
 CATEGORIES = "mdm.mdm_product_category_mapping"
 
-LINE_KEYS = {
-    ("ORD-1001", 1): (52258909733966152, "INVOICED", "2400.00"),
-    ("ORD-1001", 2): (45133945980060681, "INVOICED", "900.00"),
-    ("ORD-1002", 1): (33869165914307172, "INVOICED", "6000.00"),
-    ("ORD-1003", 1): (63197409601325417, "OPEN", "3600.00"),
-    ("ORD-1004", 1): (24272163588397852, "CANCELLED", "1200.00"),
-    ("ORD-1005", 1): (36537668849794687, "INVOICED", "5850.00"),
-    ("ORD-1005", 2): (13574174140539005, "INVOICED", "2850.00"),
+# Status and net amount of each line.
+LINES_SOLD = {
+    ("S-11", 1): ("INVOICED", "57.00"),
+    ("S-11", 2): ("INVOICED", "35.00"),
+    ("S-11", 3): ("INVOICED", "19.98"),
+    ("S-12", 1): ("INVOICED", "105.00"),
+    ("S-13", 1): ("OPEN", "248.00"),
+    ("S-14", 1): ("CANCELLED", "28.50"),
+    ("S-14", 2): ("CANCELLED", "6.20"),
+    ("S-15", 1): ("INVOICED", "45.00"),
+    ("S-15", 2): ("INVOICED", "400.00"),
 }
 DATES = {
-    (20260503, 2026, 2, 5, "May", 3, 18),
-    (20260505, 2026, 2, 5, "May", 5, 19),
-    (20260508, 2026, 2, 5, "May", 8, 19),
-    (20260511, 2026, 2, 5, "May", 11, 20),
-    (20260514, 2026, 2, 5, "May", 14, 20),
+    (20251230, 2025, 4, 12, "December", 30, 1),
+    (20260102, 2026, 1, 1, "January", 2, 1),
+    (20260228, 2026, 1, 2, "February", 28, 9),
+    (20260309, 2026, 1, 3, "March", 9, 11),
 }
 
 
+def line_key(order: str, line: int) -> int:
+    return int.from_bytes(sha256(f"SALES-{order}-{line}".encode()).digest()[:7], "big")
+
+
 def rows(df, *columns):
     return {tuple(r) for r in df.select(*columns).collect()}
 
@@ -51,19 +58,20 @@ def test_demo_goldens(spark, folder):
         (r["order_id"], r["line_id"]): (r["sales_order_line_pk"], r["status"], str(r["net_sales_amount"]))
         for r in tables["ads_sales_order"].collect()
     }
-    assert got == LINE_KEYS
+    assert got == {line: (line_key(*line), *sold) for line, sold in LINES_SOLD.items()}
     fact = tables["fact_sales"]
-    assert fact.count() == 6
-    assert fact.agg(F.sum("net_sales_amount")).first()[0] == Decimal("21600.00")
+    assert fact.count() == 7
+    assert fact.agg(F.sum("net_sales_amount")).first()[0] == Decimal("909.98")
     counts = {n: tables[n].count() for n in ("dim_customer", "dim_product", "dim_sales_rep", "dim_date")}
-    assert counts == {"dim_customer": 5, "dim_product": 5, "dim_sales_rep": 4, "dim_date": 5}
+    assert counts == {"dim_customer": 6, "dim_product": 6, "dim_sales_rep": 3, "dim_date": 4}
     dates = tables["dim_date"].drop("date_value")
     assert {tuple(r) for r in dates.collect()} == DATES
     assert rows(tables["dim_customer"], "customer_id", "country_name") == {
-        ("CUST-001", "Belgium"),
-        ("CUST-002", "Netherlands"),
-        ("CUST-003", "France"),
-        ("CUST-004", "Belgium"),
+        ("C71", "Belgium"),
+        ("C72", "Other"),
+        ("C73", "Netherlands"),
+        ("C74", "France"),
+        ("C75", "Belgium"),
         ("UNKNOWN", "Unknown"),
     }
     raw = {name.split(".")[-1]: source(name) for name in RAW_TABLES}
@@ -120,56 +128,56 @@ def test_incremental_story(spark, folder):
     assert versions == {n: warehouse.table(n).live().version for n in versions}
 
     # 3 and 4: an edited line is replaced, a new one inserted, others keep their batch.
-    edited = raw.line("ORD-1001", "1")
-    edited[3], edited[6] = "5", "2026-05-20T08:00:00"
+    edited = raw.line("S-11", "1")
+    edited[3], edited[6] = "20", "2026-03-20T08:00:00"
     raw.rows[LINES].append(
-        ["ORD-1002", "2", "PROD-001", "1", "1200.00", "0.00", "2026-05-20T09:00:00", demo.LOADED]
+        ["S-12", "2", "P300", "1", "4.75", "0.00", "2026-03-20T09:00:00", demo.LOADED]
     )
     # 8, first half: a line for a customer nobody knows yet.
     raw.rows[ORDERS].append(
-        ["ORD-1006", "CUST-009", "REP-09", "2026-05-20", "OPEN", "EUR", "2026-05-20T09:00:00", demo.LOADED]
+        ["S-19", "C99", "R9", "2026-03-20", "OPEN", "EUR", "2026-03-20T09:00:00", demo.LOADED]
     )
     raw.rows[LINES].append(
-        ["ORD-1006", "1", "PROD-009", "1", "10.00", "0.00", "2026-05-20T09:00:00", demo.LOADED]
+        ["S-19", "1", "P399", "1", "10.00", "0.00", "2026-03-20T09:00:00", demo.LOADED]
     )
     tables = run("run-3")
     now = fact(tables)
-    assert now["ORD-1001", 1]["quantity"] == 5 and now["ORD-1001", 1]["dbt_batch_id"] == "run-3"
-    assert now["ORD-1001", 2]["dbt_batch_id"] == "run-1"
-    assert now["ORD-1002", 2]["dbt_batch_id"] == "run-3"
-    assert len(now) == 8
-    orphan = now["ORD-1006", 1]
+    assert now["S-11", 1]["quantity"] == 20 and now["S-11", 1]["dbt_batch_id"] == "run-3"
+    assert now["S-11", 2]["dbt_batch_id"] == "run-1"
+    assert now["S-12", 2]["dbt_batch_id"] == "run-3"
+    assert len(now) == 9
+    orphan = now["S-19", 1]
     assert (orphan["customer_key"], orphan["product_key"], orphan["sales_rep_key"]) == (0, 0, 0)
     for child, fk, parent, pk in RELATIONSHIPS:
         assert relationships(tables[child], fk, tables[parent], pk).isEmpty()
 
     # 5: a status flip alone does not refresh the lines.
-    raw.row(ORDERS, "ORD-1005")[4] = "CANCELLED"
-    raw.row(ORDERS, "ORD-1005")[6] = "2026-05-21T08:00:00"
+    raw.row(ORDERS, "S-15")[4] = "CANCELLED"
+    raw.row(ORDERS, "S-15")[6] = "2026-03-21T08:00:00"
     # 6: a late line stamped at the watermark is never seen.
     raw.rows[LINES].append(
-        ["ORD-1003", "2", "PROD-001", "1", "1200.00", "0.00", "2026-05-20T09:00:00", demo.LOADED]
+        ["S-13", "2", "P300", "1", "4.75", "0.00", "2026-03-20T09:00:00", demo.LOADED]
     )
     # 7: an edited category does not refresh its products.
-    raw.row(CATEGORIES, "ANL")[1] = "Renamed"
+    raw.row(CATEGORIES, "TEA")[1] = "Renamed"
     # 8: the customer arrives.
     raw.rows[CUSTOMERS].append(
-        ["CUST-009", "Late Nine", "late@example.com", "LU", "Lux", "2026-05-21T08:00:00", "2026-05-21T08:00:00", demo.LOADED]
+        ["C99", "Late Lou", "lou@shop.test", "DE", "Trier", "2026-03-21T08:00:00", "2026-03-21T08:00:00", demo.LOADED]
     )
     # 9: a deleted source row stays in the target.
-    raw.rows[LINES].remove(raw.line("ORD-1002", "1"))
+    raw.rows[LINES].remove(raw.line("S-12", "1"))
     tables = run("run-4")
     now = fact(tables)
-    assert ("ORD-1005", 1) in now and ("ORD-1003", 2) not in now and ("ORD-1002", 1) in now
-    assert now["ORD-1006", 1]["customer_key"] == 0
+    assert ("S-15", 1) in now and ("S-13", 2) not in now and ("S-12", 1) in now
+    assert now["S-19", 1]["customer_key"] == 0
     assert ("Renamed",) not in rows(tables["dim_product"], "category_name")
-    assert ("CUST-009", "Other") in rows(tables["dim_customer"], "customer_id", "country_name")
+    assert ("C99", "Other") in rows(tables["dim_customer"], "customer_id", "country_name")
 
     # 10: a full refresh resolves all of that.
     tables = run("run-5", full_refresh=True)
     now = fact(tables)
-    assert ("ORD-1005", 1) not in now and ("ORD-1003", 2) in now and ("ORD-1002", 1) not in now
-    assert now["ORD-1006", 1]["customer_key"] != 0
+    assert ("S-15", 1) not in now and ("S-13", 2) in now and ("S-12", 1) not in now
+    assert now["S-19", 1]["customer_key"] != 0
     assert ("Renamed",) in rows(tables["dim_product"], "category_name")
 
 
@@ -198,35 +206,35 @@ def test_relink_unknown(spark):
 
 def test_recent_slice_limits_the_lines_only(spark, folder):
     tables = Warehouse(spark, f"{folder}/wh", buckets=1).run(
-        demo.Raw(spark), "run-1", recent_days=5, as_of="2026-05-15 00:00:00"
+        demo.Raw(spark), "run-1", recent_days=15, as_of="2026-03-11 00:00:00"
     )
-    assert rows(tables["ads_sales_order"], "order_id") == {("ORD-1004",), ("ORD-1005",)}
-    assert tables["stg_orders"].count() == 5
+    assert rows(tables["ads_sales_order"], "order_id") == {("S-13",), ("S-14",), ("S-15",)}
+    assert tables["stg_orders"].count() == 6
 
 
 def test_edge_rows(spark):
     raw = demo.Raw(spark)
     raw.rows[LINES] += [
-        ["ORD-7777", "1", "PROD-001", "1", "1.00", "0.00", "2026-05-03T17:00:00", demo.LOADED],  # no header
-        ["ORD-1001", "3", "", "1", "1.00", "2.00", "2026-05-03T17:00:00", demo.LOADED],  # no product, negative
+        ["S-77", "1", "P300", "1", "1.00", "0.00", "2026-01-03T17:00:00", demo.LOADED],  # no header
+        ["S-11", "4", "", "1", "1.00", "2.00", "2026-01-03T17:00:00", demo.LOADED],  # no product, negative
     ]
     raw.rows[ORDERS].append(
-        ["ORD-1008", "", "", "2026-05-20", "", "EURO", "2026-05-20T09:00:00", demo.LOADED]
+        ["S-18", "", "", "2026-03-20", "", "EURO", "2026-03-20T09:00:00", demo.LOADED]
     )
     raw.rows[LINES].append(
-        ["ORD-1008", "1", "PROD-001", "1", "1.00", "0.00", "2026-05-20T09:00:00", demo.LOADED]
+        ["S-18", "1", "P300", "1", "1.00", "0.00", "2026-03-20T09:00:00", demo.LOADED]
     )
-    raw.row(PRODUCTS, "PROD-004")[2] = "XXX"
+    raw.row(PRODUCTS, "P303")[2] = "XXX"
     layers = Layers(raw, "b")
     silver = {(r["order_id"], r["line_id"]): r for r in layers["ads_sales_order"].collect()}
-    assert ("ORD-7777", 1) not in silver
-    assert silver["ORD-1001", 3]["product_pk"] == 0
-    assert silver["ORD-1001", 3]["net_sales_amount"] == Decimal("-1.00")
-    no_status = silver["ORD-1008", 1]
+    assert ("S-77", 1) not in silver
+    assert silver["S-11", 4]["product_pk"] == 0
+    assert silver["S-11", 4]["net_sales_amount"] == Decimal("-1.00")
+    no_status = silver["S-18", 1]
     assert no_status["status"] is None and no_status["customer_pk"] == 0
     assert no_status["currency_code"] == "EUR"
-    assert "ORD-1008" not in {r[0] for r in rows(layers["fact_sales"], "order_number")}
-    unmapped = layers["ads_product"].where("product_id = 'PROD-004'").first()
+    assert "S-18" not in {r[0] for r in rows(layers["fact_sales"], "order_number")}
+    unmapped = layers["ads_product"].where("product_id = 'P303'").first()
     assert (unmapped["product_category_pk"], unmapped["category_name"], unmapped["is_budget_relevant"]) == (
         0,
         "Unmapped",
@@ -245,17 +253,17 @@ def test_missing_order_date_fails_the_build_and_keeps_gold(spark, folder):
     raw = demo.Raw(spark)
     warehouse = Warehouse(spark, f"{folder}/wh", buckets=1)
     warehouse.run(raw, "run-1")
-    raw.row(ORDERS, "ORD-1001")[3] = ""
+    raw.row(ORDERS, "S-11")[3] = ""
     assert None in {r[0] for r in rows(Layers(raw, "b")["dim_date"], "date_value")}
     with pytest.raises(ContractViolation, match="date"):
         warehouse.run(raw, "run-2", full_refresh=True)
-    assert warehouse.table("dim_date").read().count() == 5
+    assert warehouse.table("dim_date").read().count() == 4
 
 
 def test_duplicate_natural_key_fans_out_and_is_reported(spark):
     raw = demo.Raw(spark)
-    raw.rows[CUSTOMERS].append(list(raw.row(CUSTOMERS, "CUST-001")))
+    raw.rows[CUSTOMERS].append(list(raw.row(CUSTOMERS, "C71")))
     layers = Layers(raw, "b")
-    assert layers["ads_sales_order"].count() == 7 + 4
+    assert layers["ads_sales_order"].count() == 9 + 5
     failed = data_tests({**layers, **_raw(raw)}).where("status = 'fail' and check = 'unique'")
     assert ("ads_customer", "customer_id", 1) in rows(failed, "table", "column", "failures")

@@ -157,16 +157,16 @@ def test_build_loads_tests_and_logs(spark, folder):
     raw, log = demo.Raw(spark), f"{folder}/log"
     warehouse = Warehouse(spark, f"{folder}/wh", buckets=1)
     tables, tests = warehouse.build(raw, "run-1", "prod", log)
-    assert tables["fact_sales"].count() == 6 and tests.count() == 90
+    assert tables["fact_sales"].count() == 7 and tests.count() == 90
     runs = VersionedTable(spark, f"{log}/fct_dbt_runs")
     nodes = VersionedTable(spark, f"{log}/dim_dbt_nodes")
     assert runs.read().where("is_success").count() == 16 + 90
     named = runs.read().join(nodes.read(), "sk_dbt_node")
-    assert named.where("node_name = 'fact_sales'").first()["rows_affected"] == 6
+    assert named.where("node_name = 'fact_sales'").first()["rows_affected"] == 7
     assert named.where("resource_type = 'test' and failures <> 0").isEmpty()
 
     # A load that breaks a contract is logged as such, and raised.
-    raw.row("raw_sales.raw_sales_orders", "ORD-1001")[3] = ""
+    raw.row("raw_sales.raw_sales_orders", "S-11")[3] = ""
     with pytest.raises(ContractViolation):
         warehouse.build(raw, "run-2", "prod", log, full_refresh=True)
     second = runs.read().where("invocation_id = 'run-2'").join(nodes.read(), "sk_dbt_node")

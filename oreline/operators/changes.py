@@ -9,8 +9,8 @@ from typing import TypeVar
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from oreline.operators.filters import newer_than
-from oreline.operators.tables import VersionedTable, work_dir, written
+from oreline.operators.filters import newer_than, newer_than_time
+from oreline.operators.tables import VersionedTable, written
 
 
 R = TypeVar("R")
@@ -35,7 +35,7 @@ def incremental(
     build: Callable[[DataFrame], DataFrame],
     source_column: str,
     target_column: str | None = None,
-    build_changes: Callable[[DataFrame], DataFrame] | None = None,
+    build_changes: Callable[[DataFrame, str], DataFrame] | None = None,
     full_refresh: bool = False,
     lookback_days: int = 0,
 ) -> int:
@@ -44,13 +44,20 @@ def incremental(
     The first run, or a full refresh, builds from the whole source. Later runs
     take the rows stamped after the table's watermark, write them down once, so
     that their real size is known to the joins of ``build_changes`` (``build``
-    if not given), and upsert the result.
+    if not given), and upsert the result. The watermark comes with the table's
+    version where that knows it, else from a scan of the column. ``build_changes``
+    also gets a folder for tables of its own, which is removed after the merge.
     """
     if full_refresh or not table.exists():
         return table.write(build(source))
-    fresh = newer_than(source, table.read(), source_column, target_column, lookback_days)
-    changed = written(fresh, f"{work_dir(source.sparkSession)}/changed")
-    return table.upsert((build_changes or build)(changed))
+    highest, column = table.live().highest, target_column or source_column
+    if column in highest:
+        fresh = newer_than_time(source, highest[column], source_column, lookback_days)
+    else:
+        fresh = newer_than(source, table.read(), source_column, target_column, lookback_days)
+    with table.work() as folder:
+        changed = written(fresh, f"{folder}/changed")
+        return table.upsert(build_changes(changed, folder) if build_changes else build(changed))
 
 
 def scd1_seen(

@@ -30,8 +30,18 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder and what is below it; nothing where it is missing."""
+    fs, target = _located(spark, path)
+    fs.delete(target, True)
+
+
 def create_text(spark: SparkSession, path: str, text: str) -> bool:
-    """Create a small file in one step; False if it is already there."""
+    """Create a small file in one step; False if it is already there.
+
+    Whole or absent on every store whose rename is atomic and refuses an existing
+    target, such as HDFS. On an object store two writers may pass the check.
+    """
     folder, name = path.rsplit("/", 1)
     fs, target = _located(spark, path)
     draft = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/.{name}.{uuid.uuid4().hex}")

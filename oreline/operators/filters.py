@@ -41,6 +41,16 @@ def newer_than(
     return df.where(F.col(source_column) > mark.scalar())
 
 
+def newer_than_time(
+    df: DataFrame, time: str | None, column: str, lookback_days: int = 0
+) -> DataFrame:
+    """``newer_than`` for a known watermark; None is that of an empty target."""
+    mark = F.lit(time or EPOCH).cast("timestamp_ntz")
+    if lookback_days:
+        mark = mark - F.make_dt_interval(F.lit(lookback_days))
+    return df.where(F.col(column) > mark)
+
+
 def recent_slice(
     df: DataFrame, column: str, as_of: str | Column, days: int = 30, enabled: bool = True
 ) -> DataFrame:

@@ -10,19 +10,25 @@ says which of them are live:
 Every change writes data nobody reads yet, checks it, and only then publishes a
 new list under the next version; readers see the old or the new table, and a job
 that dies in between leaves the old one. Two writers cannot publish the same
-version: the later one fails and may start over.
+version: the later one fails and may start over. That holds on stores that rename
+in one step, such as HDFS; on others one writer per table is up to the caller.
 
-Rows of a keyed table are spread over ``buckets`` by their key, so an upsert
-rewrites only the buckets in which it replaces rows; a bucket that merely gains
-rows gets one more directory. The list holds a few entries per bucket, whatever
-the size of the table.
+Rows of a keyed table are spread over ``buckets`` by their key. An upsert rewrites
+only the directories that hold rows it replaces; a bucket that merely gains rows
+gets one more directory. A write that finds ``MOST_DIRS`` directories in a bucket
+it adds to folds them into one, so the list is bounded by buckets, not by writes.
+
+A version also keeps the greatest value of each timestamp column where that is
+known without a scan.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import uuid
-from collections.abc import Iterable
+from collections.abc import Collection, Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -35,7 +41,17 @@ from oreline.operators.quality import ContractViolation, contract_measures, cont
 from oreline.schemas import Contract
 
 BUCKET = "__bucket"
+DIR = "__dir"
 MODES = ("overwrite", "append", "error")
+# A bucket with this many directories is folded by the next write that adds to it.
+MOST_DIRS = 16
+# Up to this many rows a delta's keys are small enough for a broadcast
+# join by Spark's own threshold, so the rows kept stay in the tasks that read them.
+SMALL_DELTA = 500_000
+DIR_OF_FILE = rf"/data/([0-9a-f]+/{BUCKET}=[0-9]+)/[^/]+$"
+# Text of a timestamp whose order is that of the times (years 1 to 9999).
+PLAIN_TIME = r"[0-9]{4}-"
+
 
 class DuplicateKeys(ValueError):
     """One merge batch holds several rows for a key."""
@@ -65,6 +81,8 @@ class Staged:
     rows: int
     schema: T.StructType
     by_bucket: dict[int, str]
+    # Greatest value per timestamp column as text; None without one, no entry if unknown.
+    highest: dict[str, str | None] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -77,6 +95,7 @@ class Live:
     buckets: int
     batch: int | None
     dirs: dict[int, list[str]] = field(default_factory=dict)
+    highest: dict[str, str | None] = field(default_factory=dict)
 
 
 class VersionedTable:
@@ -105,6 +124,7 @@ class VersionedTable:
             buckets=state["buckets"],
             batch=state["batch"],
             dirs={int(b): dirs for b, dirs in state["dirs"].items()},
+            highest=state.get("highest", {}),
         )
 
     def exists(self) -> bool:
@@ -146,8 +166,13 @@ class VersionedTable:
         contract: Contract | None = None,
         key: str | None = None,
         buckets: int | None = None,
+        moved: bool = True,
     ) -> Staged:
-        """Write ``df`` where no reader looks; measure it in the same pass."""
+        """Write ``df`` where no reader looks; measure it in the same pass.
+
+        ``moved=False`` leaves rows in the tasks that hold them, for rows that
+        lie together by bucket already.
+        """
         key = key or self.key
         buckets = buckets or self.buckets
         if contract is not None:
@@ -163,27 +188,32 @@ class VersionedTable:
             # Rebalancing collects a bucket's rows into few files, and lets
             # adaptive execution split a bucket that is too big for one task.
             df = df.withColumn(BUCKET, self._bucket_of(schema, key, buckets))
-            df = df.hint("rebalance", F.col(BUCKET))
+            df = df.hint("rebalance", F.col(BUCKET)) if moved else df
         # Measured last, in the writing stage: a retried shuffle cannot count twice.
         seen = Observation()
         measures = [F.count(F.lit(1)).alias("__rows")]
         if contract is not None:
             measures += contract_measures(contract)
+        times = [f.name for f in schema if f.dataType == T.TimestampNTZType()]
+        measures += [F.max(F.col(f"`{c}`")).cast("string").alias(f"__max {c}") for c in times]
         writer = df.observe(seen, *measures).write.mode("errorifexists")
         (writer.partitionBy(BUCKET) if key else writer).parquet(out)
 
         metrics = seen.get
         rows = metrics.pop("__rows")
+        greatest = {c: metrics.pop(f"__max {c}") for c in times}
+        highest = {c: t for c, t in greatest.items() if t is None or re.match(PLAIN_TIME, t)}
         broken = {name: n for name, n in metrics.items() if n}
         if broken:
             raise ContractViolation(
                 contract.table, [f"{name}: {n} row(s)" for name, n in sorted(broken.items())]
             )
         if not key:
-            return Staged(write_id, rows, schema, {0: write_id})
+            return Staged(write_id, rows, schema, {0: write_id}, highest)
         names = files.child_names(self.spark, out)
         found = [int(n.removeprefix(f"{BUCKET}=")) for n in names if n.startswith(BUCKET)]
-        return Staged(write_id, rows, schema, {b: f"{write_id}/{BUCKET}={b}" for b in found})
+        by_bucket = {b: f"{write_id}/{BUCKET}={b}" for b in found}
+        return Staged(write_id, rows, schema, by_bucket, highest)
 
     def check_mode(self, mode: str) -> None:
         if mode not in MODES:
@@ -202,11 +232,17 @@ class VersionedTable:
                     f"{self.path}: appended columns {staged.schema.names} "
                     f"are not the table's {live.schema.names}"
                 )
-            dirs = _with_more(live.dirs, staged.by_bucket)
-            self._commit(replace(live, version=version, dirs=dirs))
+            full = [d for b in staged.by_bucket for d in _full(live.dirs.get(b, []))]
+            dirs = self._rewritten(live, full) if full else live.dirs
+            dirs = _with_more(dirs, staged.by_bucket)
+            both = live.highest.keys() & staged.highest.keys()
+            highest = {c: _later(live.highest[c], staged.highest[c]) for c in both}
+            self._commit(replace(live, version=version, dirs=dirs, highest=highest))
             return
         dirs = {b: [d] for b, d in staged.by_bucket.items()}
-        self._commit(Live(version, staged.schema, self.key, self.buckets, None, dirs))
+        self._commit(
+            Live(version, staged.schema, self.key, self.buckets, None, dirs, staged.highest)
+        )
 
     def _commit(self, state: Live) -> None:
         text = json.dumps(
@@ -216,6 +252,7 @@ class VersionedTable:
                 "buckets": state.buckets,
                 "batch": state.batch,
                 "dirs": {b: dirs for b, dirs in sorted(state.dirs.items()) if dirs},
+                "highest": state.highest,
             }
         )
         name = f"{state.version:012d}.json"
@@ -239,7 +276,17 @@ class VersionedTable:
     def ensure(self, schema: T.StructType) -> None:
         """Create the table empty where it is missing."""
         if not self.exists():
-            self._commit(Live(1, schema, self.key, self.buckets, None))
+            times = {f.name: None for f in schema if f.dataType == T.TimestampNTZType()}
+            self._commit(Live(1, schema, self.key, self.buckets, None, highest=times))
+
+    @contextmanager
+    def work(self) -> Iterator[str]:
+        """A folder beside the data for what a change writes on its way; removed after it."""
+        path = f"{self.path}/work/{uuid.uuid4().hex}"
+        try:
+            yield path
+        finally:
+            files.delete(self.spark, path)
 
     def upsert(
         self,
@@ -267,10 +314,17 @@ class VersionedTable:
         if on_duplicate == "latest":
             if not order:
                 raise ValueError('on_duplicate="latest" needs the columns to order by')
-            source = latest_per_key(source, [key], order, keep_null_keys=True)
-        elif on_duplicate != "error":
+            # Stored first: the ranking reads its input twice, the caller's batch runs once.
+            with self.work() as folder:
+                stored = written(source, f"{folder}/batch")
+                latest = latest_per_key(stored, [key], order, keep_null_keys=True)
+                return self._merge(live, latest, False, batch)
+        if on_duplicate != "error":
             raise ValueError(f"unknown on_duplicate {on_duplicate!r}")
+        return self._merge(live, source, True, batch)
 
+    def _merge(self, live: Live, source: DataFrame, check: bool, batch: int | None) -> int:
+        key = live.key
         # The delta is written once and becomes part of the table as it is. From
         # here on it is a table of known size, so joins with it are broadcast only
         # if it is small.
@@ -282,7 +336,7 @@ class VersionedTable:
             .select(F.col(key))
             .where(F.col(key).isNotNull())
         )
-        if on_duplicate == "error":
+        if check:
             doubled = keys.groupBy(key).count().where("count > 1").limit(5).collect()
             if doubled:
                 raise DuplicateKeys(
@@ -290,42 +344,64 @@ class VersionedTable:
                     f"{[r[key] for r in doubled]} in one merge batch"
                 )
 
-        dirs = {b: list(d) for b, d in live.dirs.items()}
-        candidates = [b for b in delta.by_bucket if b in dirs]
+        candidates = [b for b in delta.by_bucket if b in live.dirs]
+        touched = {d for b in candidates for d in _full(live.dirs[b])}
         if candidates:
-            held = self._read_dirs(live.schema, [d for b in candidates for d in dirs[b]])
-            bucket = self._bucket_of_key(key, live.buckets)
+            held = [d for b in candidates for d in live.dirs[b]]
             replaced = (
-                held.select(key, bucket.alias(BUCKET))
+                self._with_dir(live.schema, key, held)
                 .where(F.col(key).isNotNull())
                 .join(keys, key, "left_semi")
-                .select(BUCKET)
+                .select(DIR)
                 .distinct()
                 .collect()
-            )  # at most one row per bucket
-            rewritten = [r[BUCKET] for r in replaced]
-            if rewritten:
-                old = self._read_dirs(live.schema, [d for b in rewritten for d in dirs[b]])
-                # The bucket follows from the key, so joining on both changes nothing
-                # but spreads rows without a key over many tasks.
-                spread = old.withColumn(BUCKET, self._bucket_of(live.schema, key, live.buckets))
-                gone = keys.withColumn(BUCKET, bucket)
-                kept = self.stage(
-                    spread.join(gone, [key, BUCKET], "left_anti").select(*live.schema.names),
-                    key=key,
-                    buckets=live.buckets,
-                )
-                for b in rewritten:
-                    dirs[b] = [kept.by_bucket[b]] if b in kept.by_bucket else []
+            )  # at most one row per listed directory
+            touched |= {r[DIR] for r in replaced}
+        dirs = live.dirs
+        if touched:
+            dirs = self._rewritten(live, touched, keys, moved=delta.rows > SMALL_DELTA)
+        # All of the delta stays, and all kept rows are at or before the old greatest
+        # time: the delta's is the new one, unless it is less and the old row may be gone.
+        highest = {
+            c: t
+            for c, t in delta.highest.items()
+            if c in live.highest and _later(t, live.highest[c]) == t
+        }
         merged = replace(
             live,
             version=live.version + 1,
             dirs=_with_more(dirs, delta.by_bucket),
             batch=live.batch if batch is None else batch,
+            highest=highest,
         )
         self._commit(merged)
         return delta.rows
 
+    def _with_dir(self, schema: T.StructType, key: str, dirs: Iterable[str]) -> DataFrame:
+        """Keys in keyed directories, each with the directory it lies in."""
+        paths = [f"{self.path}/data/{d}" for d in sorted(dirs)]
+        lies_in = F.regexp_extract("_metadata.file_path", DIR_OF_FILE, 1)
+        return self.spark.read.schema(schema).parquet(*paths).select(key, lies_in.alias(DIR))
+
+    def _rewritten(
+        self,
+        live: Live,
+        touched: Collection[str],
+        gone: DataFrame | None = None,
+        moved: bool = False,
+    ) -> dict[int, list[str]]:
+        """Directories after those of ``touched`` were written anew without the keys ``gone``."""
+        old = self._read_dirs(live.schema, touched)
+        if gone is not None:
+            # The bucket follows from the key, so joining on both changes nothing
+            # but spreads rows without a key over many tasks.
+            old = old.withColumn(BUCKET, self._bucket_of(live.schema, live.key, live.buckets))
+            gone = gone.withColumn(BUCKET, self._bucket_of_key(live.key, live.buckets))
+            old = old.join(gone, [live.key, BUCKET], "left_anti").select(*live.schema.names)
+        kept = self.stage(old, key=live.key, buckets=live.buckets, moved=moved)
+        rest = {b: [d for d in dirs if d not in touched] for b, dirs in live.dirs.items()}
+        return _with_more(rest, kept.by_bucket)
+
     def _align(self, df: DataFrame, schema: T.StructType, on_schema_change: str) -> DataFrame:
         missing = [f.name for f in schema if f.name not in df.columns]
         extra = [c for c in df.columns if c not in schema.names]
@@ -352,6 +428,14 @@ class VersionedTable:
         return [f"{self.path}/data/{d}" for d in out]
 
 
+def _full(dirs: list[str]) -> list[str]:
+    return dirs if len(dirs) >= MOST_DIRS else []
+
+
+def _later(a: str | None, b: str | None) -> str | None:
+    return max((t for t in (a, b) if t is not None), default=None)
+
+
 def _with_more(dirs: dict[int, list[str]], more: dict[int, str]) -> dict[int, list[str]]:
     out = {b: list(d) for b, d in dirs.items()}
     for b, d in more.items():

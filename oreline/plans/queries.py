@@ -118,7 +118,9 @@ def _incremental_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
             lambda rows: silver.sales_orders(orders, rows, *others),
             "updated_at",
             "order_line_updated_at",
-            build_changes=lambda rows: silver.changed_sales_orders(rows, orders, *others),
+            build_changes=lambda rows, folder: silver.changed_sales_orders(
+                rows, orders, *others, folder
+            ),
         )
     return table.read()
 

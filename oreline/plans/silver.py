@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from oreline.functions import date_key, is_open_ended, map_values, net_amount, varchar
 from oreline.operators.lookups import enrich, lookup_key, only_matching
-from oreline.operators.tables import work_dir, written
+from oreline.operators.tables import written
 
 # Country names by code, labels of an unmapped category.
 COUNTRY_NAMES = {"BE": "Belgium", "NL": "Netherlands", "FR": "France"}
@@ -148,15 +148,16 @@ def changed_sales_orders(
     ads_customer: DataFrame,
     ads_product: DataFrame,
     ads_sales_rep: DataFrame,
+    folder: str,
 ) -> DataFrame:
     """``sales_orders`` for a small, already written set of changed lines.
 
     The change set meets the headers first and is written again, so that each
-    big table is only scanned against the few keys the changes mention.
+    big table is only scanned against the few keys the changes mention. ``folder``
+    holds what is written until the result was used.
     """
-    spark = changed_lines.sparkSession
     joined = _lines(changed_lines).join(_headers(stg_orders), "sales_order_pk")
-    rows = written(joined, f"{work_dir(spark)}/with_headers")
+    rows = written(joined, f"{folder}/with_headers")
     rows = _with_customer_and_rep(
         rows,
         only_matching(ads_customer, "customer_id", rows),

@@ -134,11 +134,13 @@ class Warehouse:
         as_of: str | None = None,
         keep_bronze: bool = False,
         recorder: RunRecorder | None = None,
+        lookback_days: int = 0,
     ) -> dict[str, DataFrame]:
         """One load: refresh silver by what changed, rebuild gold, return all tables.
 
         Bronze relations stay views, except order headers; ``keep_bronze`` writes
         them all, which pays when they are read again (by the data tests, say).
+        ``lookback_days`` re-reads that many days before each watermark for late rows.
         A failed step stops the load; a ``recorder`` notes how every step went.
         """
         lazy = Layers(source, batch_id, recent_days, as_of)
@@ -155,7 +157,14 @@ class Warehouse:
             target = self.table(name)
             with recorder.step(name, "silver", "incremental") as note:
                 note["rows_affected"] = incremental(
-                    target, changes, build, "updated_at", stamp, full_refresh=full_refresh, **how
+                    target,
+                    changes,
+                    build,
+                    "updated_at",
+                    stamp,
+                    full_refresh=full_refresh,
+                    lookback_days=lookback_days,
+                    **how,
                 )
             return target.read()
 
@@ -185,7 +194,9 @@ class Warehouse:
                 tables["stg_order_lines"],
                 lambda lines: silver.sales_orders(orders, lines, *others),
                 "order_line_updated_at",
-                build_changes=lambda lines: silver.changed_sales_orders(lines, orders, *others),
+                build_changes=lambda lines, folder: silver.changed_sales_orders(
+                    lines, orders, *others, folder
+                ),
             )
             star = gold.build_star(tables)
             tables |= together({name: partial(gold_table, name, df) for name, df in star.items()})

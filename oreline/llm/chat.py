@@ -35,27 +35,71 @@ TYPES = {
 
 
 def levels(calls: DataFrame, max_rounds: int = 10000) -> DataFrame:
-    """``(call_id, level)`` of ``calls(call_id, depends_on array)``; null level on cycles."""
+    """``(call_id, level)`` of ``calls(call_id, depends_on array)``; null level on cycles.
+
+    Calls with one dependency are links of chains: each jumps to what its target
+    points at, twice as far every round, until it stands on a call with none or
+    several dependencies. Only the latter are then taken level by level, so a long
+    conversation costs a number of rounds logarithmic in its length.
+    """
     ids = calls.where("call_id is not null").select("call_id").distinct()
     edges = calls.select("call_id", F.explode("depends_on").alias("needs")).distinct()
-    edges = stored(edges.join(ids.select(F.col("call_id").alias("needs")), "needs", "left_semi"), "edges")
-    left = stored(ids, "ids")
-    done = None
-    for level in range(max_rounds):
-        waiting = edges.select("call_id").distinct()
-        ready = stored(left.join(waiting, "call_id", "left_anti"), "ready")
-        if ready.isEmpty():
+    edges = edges.join(ids.select(F.col("call_id").alias("needs")), "needs", "left_semi")
+    edges = stored(edges.where("call_id is not null").select("call_id", "needs"), "edges")
+    many = edges.groupBy("call_id").agg(F.count(F.lit(1)).alias("n"), F.min("needs").alias("needs"))
+    nodes = stored(ids.join(many, "call_id", "left").fillna(0, ["n"]), "nodes")
+    link = F.col("n") == 1
+    steps = stored(
+        nodes.select(
+            "call_id",
+            F.when(link, F.col("needs")).otherwise(F.col("call_id")).alias("target"),
+            F.when(link, 1).otherwise(0).cast("long").alias("steps"),
+            (~link).alias("there"),
+        ),
+        "steps",
+    )
+    # After this many doublings only links on a cycle, or behind one, are not there.
+    for _ in range(steps.count().bit_length()):
+        far = steps.where("not there")
+        if far.isEmpty():
             break
-        ranked = ready.withColumn("level", F.lit(level).cast("long"))
-        done = ranked if done is None else done.union(ranked)
-        left = stored(left.join(waiting, "call_id", "left_semi"), "left")
-        if left.isEmpty():
-            return done
-        edges = stored(
-            edges.join(ready.select(F.col("call_id").alias("needs")), "needs", "left_anti"), "edges"
+        ahead = steps.select(
+            F.col("call_id").alias("at"),
+            F.col("target").alias("next"),
+            F.col("steps").alias("more"),
+            F.col("there").alias("arrived"),
+        )
+        moved = far.join(ahead, F.col("target") == F.col("at")).select(
+            "call_id", F.col("next").alias("target"), F.col("steps") + F.col("more"), "arrived"
         )
-    rest = left.withColumn("level", F.lit(None).cast("long"))
-    return rest if done is None else done.union(rest)
+        steps = stored(steps.where("there").union(moved), "steps")
+
+    ranked = nodes.where("n = 0").select("call_id", F.lit(0).cast("long").alias("level"))
+    joints = nodes.where("n > 1").select("call_id")
+    reach = steps.select(F.col("call_id").alias("needs"), "target", "steps")
+    waiting = edges.join(joints, "call_id", "left_semi").join(reach, "needs")
+    waiting = stored(waiting.select("call_id", "target", (F.col("steps") + 1).alias("steps")), "waiting")
+    ready, seen = ranked, None
+    for _ in range(max_rounds):
+        if waiting.isEmpty():
+            break
+        met = waiting.join(ready.select(F.col("call_id").alias("target"), "level"), "target")
+        met = met.select("call_id", (F.col("steps") + F.col("level")).alias("level"))
+        seen = met if seen is None else seen.union(met)
+        seen = stored(seen.groupBy("call_id").agg(F.max("level").alias("level")), "seen")
+        done = ready.select(F.col("call_id").alias("target"))
+        waiting = stored(waiting.join(done, "target", "left_anti").select(*waiting.columns), "waiting")
+        ready = stored(seen.join(waiting, "call_id", "left_anti"), "ready")
+        if ready.isEmpty():
+            break
+        seen = seen.join(ready, "call_id", "left_anti")
+        ranked = ranked.union(ready)
+    else:
+        raise RuntimeError(f"dependencies are deeper than {max_rounds} joints")
+    level = ranked.select(F.col("call_id").alias("target"), "level")
+    return steps.join(level, "target", "left").select(
+        "call_id", F.when(F.col("there"), F.col("level") + F.col("steps")).alias("level")
+    )
 
 
 def checked(calls: DataFrame, schemas: DataFrame) -> DataFrame:

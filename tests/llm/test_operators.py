@@ -206,6 +206,24 @@ def test_calls_are_linked_ordered_and_checked(spark):
     assert (got["z"].status, got["a"].n_results, got["c"].errors) == ("orphan", 2, "unknown tool")
 
 
+def test_levels_are_longest_paths(spark):
+    rng = random.Random(9)
+    needs = {k: [k - 1] for k in range(1, 300)} | {0: []}  # one long chain
+    for k in range(300, 500):
+        needs[k] = rng.sample(range(k), rng.choice([0, 1, 1, 1, 2, 3]))
+    want = {}
+    for k in sorted(needs):
+        want[k] = max((want[n] + 1 for n in needs[k]), default=0)
+    needs |= {500: [502], 501: [500], 502: [501], 503: [500, 7], 504: [503], 505: [505], 506: [3, 505]}
+    needs |= {507: [9999], 508: [9999, 299], 509: [299, 299]}
+    want |= {k: None for k in range(500, 507)} | {507: 0, 508: want[299] + 1, 509: want[299] + 1}
+    frame = spark.createDataFrame(
+        [(str(k), [*map(str, v)]) for k, v in needs.items()], "call_id string, depends_on array<string>"
+    )
+    got = chat.levels(frame.union(frame.limit(3))).collect()
+    assert len(got) == len(want) and {int(r.call_id): r.level for r in got} == want
+
+
 def test_pages_keep_the_article(spark):
     footer = "<div>one two three four five six seven eight nine</div>"
     open_ = f"<body>{footer}<div>own words {{}} of this page that no other page of it has at all</div>"

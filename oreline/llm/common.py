@@ -36,6 +36,18 @@ def word_count(text: Column) -> Column:
     return F.size(word_array(text)).cast("long")
 
 
+def meet_totals(rows: DataFrame, totals: DataFrame, *keys: str) -> DataFrame:
+    """Inner join of ``rows`` with ``totals``, a table grouped by ``keys``.
+
+    A grouped table already lies by its keys, and a join that reuses this cannot be
+    split where a key is hot. Joining by a hash of the keys as well deals out both
+    sides anew, so adaptive execution may broadcast small totals or split hot rows.
+    """
+    spread = F.xxhash64(*keys)
+    both = [x.withColumn("spread__", spread) for x in (rows, totals)]
+    return both[0].join(both[1], ["spread__", *keys]).drop("spread__")
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of ``edges(a long, b long)`` as ``(node, component)``.
 
@@ -74,13 +86,13 @@ def _large_star(stars: DataFrame) -> DataFrame:
     )
     least = ways.groupBy("u").agg(F.min("v").alias("m"))
     least = least.select("u", F.least("u", "m").alias("m"))
-    linked = ways.join(least, "u").where("v > u and v <> m")
+    linked = meet_totals(ways, least, "u").where("v > u and v <> m")
     return linked.select(F.col("v").alias("big"), F.col("m").alias("small")).distinct()
 
 
 def _small_star(stars: DataFrame) -> DataFrame:
     """Every smaller neighbour of a node, and the node, are linked to the least of them."""
     least = stars.groupBy("big").agg(F.min("small").alias("m"))
-    linked = stars.join(least, "big").where("small <> m")
+    linked = meet_totals(stars, least, "big").where("small <> m")
     moved = linked.select(F.col("small").alias("big"), F.col("m").alias("small"))
     return moved.union(least.select("big", F.col("m").alias("small"))).distinct()

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from oreline.llm.common import require, stored
+from oreline.llm.common import meet_totals, require, stored
 
 GRAM = 16  # bytes hashed at a place
 PIECE = 25
@@ -334,7 +334,7 @@ def repeated_ranges(
         F.count(F.lit(1)).alias("n"), F.min("span").alias("least"), F.max("span").alias("most")
     )
     cores = cores.where("n > 1").select("core", (F.col("least") != F.col("most")).alias("mixed"))
-    again = stored(found.join(cores, "core"), "again")
+    again = stored(meet_totals(found, cores, "core"), "again")
     mixed = again.where("mixed")
     spans = mixed.groupBy("core", "span").agg(
         F.count(F.lit(1)).alias("n"),
@@ -356,7 +356,7 @@ def repeated_ranges(
     ).select("key", "mark", "text", "chosen")
     pieces = stored(_piece_rows(wanted, length).dropDuplicates(["key", "mark", "at", "near"]), "pieces")
     crowd = pieces.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    pieces = stored(pieces.join(crowd, "core"), "crowded")
+    pieces = stored(meet_totals(pieces, crowd, "core"), "crowded")
     ordinary = pieces.where(F.col("n") <= SPLIT_ABOVE).repartition("core")
     sorted_ = _suffix_sorted(ordinary.sortWithinPartitions("core"), length)
 
@@ -376,7 +376,7 @@ def repeated_ranges(
     ).select("key", "mark", "start", "core", "offset", F.xxhash64("before", F.lit(0), "after").alias("flanks"))
     window = ["core", "offset", "flanks"]
     twice = hot.groupBy(*window).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    single = hot.join(twice, window).select(
+    single = meet_totals(hot, twice, *window).select(
         "key", "mark", "start", (F.col("start") + length).alias("end")
     )
     return whole.union(sorted_).union(single)

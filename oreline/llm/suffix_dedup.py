@@ -176,8 +176,18 @@ def anchors(data: np.ndarray, length: int) -> dict[str, np.ndarray]:
         span = hashes.of(low, high + length) + _BYTE_HASH[0] * (at - low).astype(np.uint64)
         parts.append((at + first, low + first, high + first, core, span))
     joined = [np.concatenate(x) for x in zip(*parts)] if parts else [np.empty(0, np.int64)] * 5
+    at, low, high, core, span = joined
+    # An anchor whose windows lie on both sides of a segment's edge is one row.
+    first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]][: len(at)])
+    last = np.r_[first[1:], len(at)][: len(first)] - 1
+    at, low, high, core, span = at[first], low[first], high[last], core[first], span[first]
+    for k in np.flatnonzero(first != last):
+        piece = data[low[k] : high[k] + length]
+        whole = _Hashes(piece).of(np.array([0]), np.array([len(piece)]))
+        span[k] = (whole + _BYTE_HASH[0] * (at[k : k + 1] - low[k]).astype(np.uint64))[0]
     names = ("at", "low", "high", "core", "span")
-    return dict(zip(names, [*joined[:3], *[x.astype(np.uint64).view(np.int64) for x in joined[3:]]]))
+    hashes = [x.astype(np.uint64).view(np.int64) for x in (core, span)]
+    return dict(zip(names, [at, low, high, *hashes]))
 
 
 def _bytes(text: str | None) -> bytes:

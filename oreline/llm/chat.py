@@ -8,7 +8,8 @@ call becomes one line of canonical JSON (keys sorted, no white space).
 
 Cases: a call without a result is ``unanswered``, a result without a call is
 ``orphan``, and of several results of one identifier the first by turn is linked,
-the others are ``repeated``; an identifier used by several calls keeps them all,
+the others are ``repeated`` (``link_calls`` only counts them, as its SQL twin does;
+``link_rows`` has a row with its content for each result, ``turn_rows`` for each turn); an identifier used by several calls keeps them all,
 each linked to the same result; calls on a cycle, or behind one, have no level;
 unknown dependencies are ignored; arguments that are no JSON object are invalid;
 a tool without a schema is ``unknown tool``. Null identifiers link with nothing.
@@ -22,6 +23,8 @@ from pyspark.sql import functions as F
 
 from oreline.llm.common import require, stored
 
+TURN_RANGE = 1024  # turns of a conversation that are numbered in one task
+
 # JSON types by the name Spark gives to parsed values.
 TYPES = {
     "string": "STRING",
@@ -174,17 +177,96 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> Data
     )
 
 
+def link_rows(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
+    """One row per call and one per result, each with its own content.
+
+    Tables as for ``link_calls``. Returns call_id, kind (call, result), turn, status
+    (linked, unanswered, repeated, orphan), level, valid, errors, content and json.
+    Only results have a turn and content; a call's arguments stand in its json.
+    """
+    asked = link_calls(calls, results, schemas).where("status <> 'orphan'").select(
+        "call_id",
+        F.lit("call").alias("kind"),
+        F.lit(None).cast("long").alias("turn"),
+        "status",
+        "level",
+        "valid",
+        "errors",
+        F.lit(None).cast("string").alias("content"),
+        "json",
+    )
+    # Equal results are counted and dealt out again: one of them is the first.
+    each = results.groupBy("call_id", "turn", "content").agg(F.count(F.lit(1)).alias("n"))
+    each = stored(each, "results")
+    first = each.groupBy("call_id").agg(F.min(F.struct("turn", "content")).alias("first"))
+    known = calls.where("call_id is not null").select("call_id").distinct()
+    first = first.join(known, "call_id")
+    met = each.join(first, "call_id", "left").withColumn("copy", F.explode(F.expr("sequence(1L, n)")))
+    is_first = (F.col("copy") == 1) & F.struct("turn", "content").eqNullSafe(F.col("first"))
+    status = F.when(F.col("first").isNull(), "orphan").when(is_first, "linked").otherwise("repeated")
+    met = met.withColumn("status", status)
+    line = F.struct("content", F.col("call_id").alias("id"), "status", "turn")
+    answers = met.select(
+        "call_id",
+        F.lit("result").alias("kind"),
+        F.col("turn").cast("long").alias("turn"),
+        "status",
+        F.lit(None).cast("long").alias("level"),
+        F.lit(None).cast("boolean").alias("valid"),
+        F.lit(None).cast("string").alias("errors"),
+        "content",
+        F.to_json(line).alias("json"),
+    )
+    return asked.union(answers)
+
+
+def turn_rows(turns: DataFrame, schemas: DataFrame) -> DataFrame:
+    """One row per turn: ``link_rows`` of its calls and results, and the other turns.
+
+    Turns that neither call nor answer have their role as kind and status, no
+    call_id, and their text as content and in the json.
+    """
+    calls, results = calls_of(turns)
+    rest = turns.where("role is null or role not in ('user', 'assistant')")
+    kind = F.coalesce("role", F.lit("no role"))
+    line = F.struct(F.col("text").alias("content"), "conv_id", "role", "turn")
+    rest = rest.select(
+        F.lit(None).cast("string").alias("call_id"),
+        kind.alias("kind"),
+        F.col("turn").cast("long").alias("turn"),
+        kind.alias("status"),
+        F.lit(None).cast("long").alias("level"),
+        F.lit(None).cast("boolean").alias("valid"),
+        F.lit(None).cast("string").alias("errors"),
+        F.col("text").alias("content"),
+        F.to_json(line).alias("json"),
+    )
+    return link_rows(calls, results, schemas).union(rest)
+
+
 def calls_of(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls and results that a table of conversation turns stands for.
 
     A user turn calls the tool ``reply`` with its text and needs the call before it
-    in its conversation; an assistant turn is the result of the last call.
+    in its conversation; an assistant turn is the result of the last call. Ranges of
+    turns are looked through one by one, and the last call is carried over the ranges.
+    Other turns give neither (see ``turn_rows``).
     """
     require(turns, "conv_id", "turn", "role", "text")
-    line = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    turns = turns.select("conv_id", "turn", "role", "text")
+    turns = turns.withColumn("part", F.expr(f"cast(turn as bigint) div {TURN_RANGE}"))
+    line = Window.partitionBy("conv_id", "part").orderBy("turn", "role", "text")
     user = F.when(F.col("role") == "user", F.col("turn"))
-    seen = turns.withColumn("call_turn", F.last(user, ignorenulls=True).over(line))
+    earlier = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = turns.groupBy("conv_id", "part").agg(F.max(user).alias("last"))
+    ranges = ranges.select(
+        F.col("conv_id").alias("of"), F.col("part").alias("with"), F.max("last").over(earlier).alias("carried")
+    )
     before = F.last(user, ignorenulls=True).over(line.rowsBetween(Window.unboundedPreceding, -1))
+    seen = turns.withColumns({"call_turn": F.last(user, ignorenulls=True).over(line), "before": before})
+    seen = seen.join(ranges, F.expr("conv_id <=> of and part <=> with"))
+    seen = seen.withColumn("call_turn", F.coalesce("call_turn", "carried"))
+    before = F.coalesce("before", "carried")
     # Not a constant: joins by tool stay hash joins.
     tool = F.when(F.col("role") == "user", F.lit("reply"))
     seen = seen.withColumns({"needs_turn": before, "tool": tool})

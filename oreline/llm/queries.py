@@ -66,6 +66,12 @@ def _chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.link_calls(calls, results, schemas)
 
 
+def _chat_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    schemas = spark.sql(f"select * from {REPLY_SCHEMA} as t(tool, field, type, required)")
+    return chat.turn_rows(turns, schemas)
+
+
 def _html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
@@ -103,6 +109,7 @@ def queries() -> dict[str, Query]:
         "op1_quality_classifier": _quality_classifier,
         "op2_sharding": _sharding,
         "op3_chat": _chat,
+        "op3_chat_turns": _chat_turns,
         "op4_line_rules": _line_rules,
         "op5_mixing": _mixing,
         "op6_html_text": _html_text,

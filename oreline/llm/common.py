@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from oreline.operators import files
 from oreline.operators.tables import work_dir, written
 
 # Fixed value: the white space that separates words (space, tab to carriage return).
@@ -15,9 +20,47 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+# Folders stored inside each open ``scratch``, the innermost last.
+_open: ContextVar[tuple[list[str], ...]] = ContextVar("open_scratch", default=())
+
+
 def stored(df: DataFrame, name: str = "part") -> DataFrame:
     """Cut the lineage with a table in the shared work folder, and read it back."""
-    return written(df, f"{work_dir(df.sparkSession)}/{name}")
+    return _stored(df, name, _open.get()[-1:])
+
+
+def kept(df: DataFrame, name: str = "result") -> DataFrame:
+    """As ``stored``, for a table that outlives the innermost ``scratch``."""
+    return _stored(df, name, _open.get()[-2:-1])
+
+
+def _stored(df: DataFrame, name: str, scopes: tuple[list[str], ...]) -> DataFrame:
+    folder = work_dir(df.sparkSession)
+    for scope in scopes:
+        scope.append(folder)
+    out = written(df, f"{folder}/{name}")
+    out.stored_in = folder
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove stored tables that nothing reads any more."""
+    for table in tables:
+        files.delete(table.sparkSession, table.stored_in)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is stored inside is removed at the end; ``kept`` tables stay."""
+    scope: list[str] = []
+    before = _open.get()
+    _open.set((*before, scope))
+    try:
+        yield
+    finally:
+        _open.set(before)
+        for folder in scope:
+            files.delete(spark, folder)
 
 
 def require(df: DataFrame, *columns: str) -> None:
@@ -63,7 +106,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     )
     before = _fingerprint(stars)
     for _ in range(max_rounds):
-        stars = stored(_small_star(_large_star(stars)))
+        last, stars = stars, stored(_small_star(_large_star(stars)))
+        discard(last)
         now = _fingerprint(stars)
         if now == before:
             break

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,8 +10,11 @@ from pyspark.sql import functions as F
 
 from oreline.llm import (
     chat,
+    fill_middle,
     html_text,
+    line_dedup,
     line_rules,
+    manifest,
     minhash,
     mixing,
     pieces,
@@ -104,6 +108,20 @@ def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    return manifest.proofs_of(documents(spark, sf_dir), tampered, text=lower)
+
+
+def _line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.drop_lines(documents(spark, sf_dir).select("doc_id", "text")).drop("text")
+
+
+def _fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.restore(fill_middle.assemble(fill_middle.pieces(documents(spark, sf_dir))))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_classifier": _quality_classifier,
@@ -117,4 +135,7 @@ def queries() -> dict[str, Query]:
         "op8_suffix_dedup": _suffix_dedup,
         "op9_minhash": _minhash,
         "op10_vectors": _vectors,
+        "op11_manifest": _manifest,
+        "op12_line_dedup": _line_dedup,
+        "op13_fill_middle": _fill_middle,
     }

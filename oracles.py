@@ -11,6 +11,7 @@ from oreline.schemas import FRESHNESS_DAYS, NOT_NULL, RELATIONSHIPS, UNIQUE
 BATCH = "batch-0001"
 SPLIT = "2000-01-01 00:00:00"
 AS_OF = "2001-11-20 00:00:00"
+RECENT = "2001-11-01 00:00:00"
 
 
 def key(*parts: str) -> str:
@@ -257,6 +258,34 @@ def _upsert_merge() -> str:
         where updated_at > timestamp '{SPLIT}'""")
 
 
+def _upsert_by_period() -> str:
+    cols = (
+        "sales_order_line_pk, sales_order_pk, order_id, line_id, product_id, unit_price, "
+        "discount_amount, updated_at, source_loaded_at"
+    )
+    edited = f"updated_at >= timestamp '{RECENT}' or quantity = 50"
+    return with_ctes(f"""
+        select {cols}, cast(quantity + case when {edited} then 1 else 0 end as integer) as quantity,
+               case when {edited} then 'batch-0002' else '{BATCH}' end as dbt_batch_id
+        from stg_order_lines""")
+
+
+def _ingest_products() -> str:
+    return with_ctes("""
+        select product_id, product_name, category_code, unit_price,
+               cast(active_from as date) as active_from,
+               cast(nullif(active_to, '') as date) as active_to, updated_at, _loaded_at
+        from raw_products""")
+
+
+def _stream_upsert() -> str:
+    return """
+        select user_id, ts, event_id, event_type, value
+        from (select *, row_number() over (partition by user_id order by ts desc, event_id desc)
+                as place from events)
+        where place = 1"""
+
+
 def _incremental_orders() -> str:
     return with_ctes(f"""
         select * from ads_sales_order
@@ -484,6 +513,9 @@ def oracle_sql() -> dict[str, str]:
         "watermark_value": with_ctes(
             "select max(updated_at) as max_updated_at from stg_order_lines"
         ),
+        "footer_watermark": """
+            select 'l_shipdate' as "column", cast(max(l_shipdate) as varchar) as value from lineitem
+            union all select 'l_orderkey', cast(max(l_orderkey) as varchar) from lineitem""",
         "watermark_filter": with_ctes(
             f"select * from stg_order_lines where updated_at > timestamp '{SPLIT}'"
         ),
@@ -492,6 +524,13 @@ def oracle_sql() -> dict[str, str]:
                 where updated_at >= timestamp '{AS_OF}' - interval 30 day"""
         ),
         "upsert_merge": _upsert_merge(),
+        "upsert_by_period": _upsert_by_period(),
+        "late_members": with_ctes("select * from ads_sales_order"),
+        "colocated_orders": with_ctes("select * from ads_sales_order"),
+        "gold_write": with_ctes("select * from fact_sales"),
+        "ingest_lines": with_ctes("select * from raw_lines"),
+        "ingest_products": _ingest_products(),
+        "stream_upsert": _stream_upsert(),
         "incremental_orders": _incremental_orders(),
         "latest_per_key": _latest_per_key(),
         "runlog_dim": _runlog_dim(),

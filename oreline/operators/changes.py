@@ -9,7 +9,7 @@ from typing import TypeVar
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from oreline.operators.filters import newer_than, newer_than_time
+from oreline.operators.filters import newer_than_time
 from oreline.operators.tables import VersionedTable, written
 
 
@@ -45,16 +45,13 @@ def incremental(
     take the rows stamped after the table's watermark, write them down once, so
     that their real size is known to the joins of ``build_changes`` (``build``
     if not given), and upsert the result. The watermark comes with the table's
-    version where that knows it, else from a scan of the column. ``build_changes``
+    version where that knows it, else from the files' footers. ``build_changes``
     also gets a folder for tables of its own, which is removed after the merge.
     """
     if full_refresh or not table.exists():
         return table.write(build(source))
-    highest, column = table.live().highest, target_column or source_column
-    if column in highest:
-        fresh = newer_than_time(source, highest[column], source_column, lookback_days)
-    else:
-        fresh = newer_than(source, table.read(), source_column, target_column, lookback_days)
+    highest = table.greatest(target_column or source_column)
+    fresh = newer_than_time(source, highest, source_column, lookback_days)
     with table.work() as folder:
         changed = written(fresh, f"{folder}/changed")
         return table.upsert(build_changes(changed, folder) if build_changes else build(changed))

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterable
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed value: the watermark of an empty target.
 EPOCH = "1900-01-01 00:00:00"
@@ -14,6 +18,45 @@ def max_value(df: DataFrame, column: str) -> DataFrame:
     return df.agg(F.max(column).alias(f"max_{column}"))
 
 
+def footer_max(
+    spark: SparkSession, paths: Iterable[str], schema: T.StructType, column: str
+) -> DataFrame:
+    """``max_value`` of Parquet files from the statistics in their footers; no row is read.
+
+    ``schema`` must be that of every file, column by column in order, as it is for the
+    files of one table: the statistics are found by place. Spark pushes a maximum of
+    whole numbers and dates down; timestamps are numbers to it here. A file in which
+    the column is all NULL has no statistics, and the column is scanned after all.
+    """
+    paths = list(paths)
+    pushed = _pushed_max(spark, paths, schema, column)
+    try:
+        greatest = pushed.first()[0]
+    except Py4JJavaError as e:
+        if "aggregatePushdown" not in str(e):
+            raise
+        return max_value(spark.read.schema(schema).parquet(*paths), column)
+    kind = schema[column].dataType
+    return spark.range(1).select(F.lit(greatest).cast(kind).alias(f"max_{column}"))
+
+
+def _pushed_max(
+    spark: SparkSession, paths: list[str], schema: T.StructType, column: str
+) -> DataFrame:
+    """The maximum as text, in a session of its own that has the push-down switched on."""
+    timed = isinstance(schema[column].dataType, T.TimestampNTZType)
+    read_as = [T.StructField(f.name, T.LongType()) if timed and f.name == column else f for f in schema]
+    own = spark.newSession()
+    own.conf.set("spark.sql.session.timeZone", "UTC")
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    found = max_value(own.read.schema(T.StructType(read_as)).parquet(*paths), column)
+    greatest = F.col(f"max_{column}")
+    if timed:
+        greatest = F.timestamp_micros(greatest).cast("timestamp_ntz")
+    return found.select(greatest.cast("string"))
+
+
 def watermark(target: DataFrame, column: str) -> DataFrame:
     """One row: the target's greatest timestamp, or the epoch when it is empty."""
     highest = F.coalesce(F.max(column), F.lit(EPOCH).cast("timestamp_ntz"))

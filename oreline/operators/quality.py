@@ -189,37 +189,44 @@ def summarize(
 ) -> DataFrame:
     """(check, table, column, failures, status), one row per check, in one job.
 
-    All not-null columns and row rules of a table share one scan. A unique check
-    costs one shuffle of its column, a foreign key one of its distinct values. A
-    table that a check names must be given: pass fewer checks to test fewer tables.
+    Each table is scanned once: a row gives a (check, value) pair for each of its
+    unique columns and a bare check for each column or rule that it fails. All pairs
+    of all tables, counted before they move, share one shuffle, whatever the number
+    of unique columns; a foreign key costs one of its distinct values. A table that
+    a check names must be given: pass fewer checks to test fewer tables.
     """
     rules = dict(rules or {})
     named = {*not_null_columns, *unique_columns, *(table for _, table, _ in rules)}
     named |= {table for child, _, parent, _ in foreign_keys for table in (child, parent)}
     if named - set(tables):
         raise ValueError(f"checks name tables that are not given: {sorted(named - set(tables))}")
-    parts = []
+    labels: list[tuple[int, str, str, str]] = []
+    pairs = None
     for name, df in tables.items():
-        counted = {
-            f"not_null|{c}": F.count_if(F.col(c).isNull()) for c in not_null_columns.get(name, ())
-        }
-        for (check, table, column), failing in rules.items():
-            if table == name:
-                counted[f"{check}|{column}"] = F.count_if(failing)
-        if counted:
-            one_row = df.agg(*[count.alias(label) for label, count in counted.items()])
-            label = F.split("column", "\\|")
-            parts.append(
-                _unpivot_counts(one_row, list(counted)).select(
-                    label[0].alias("check"),
-                    F.lit(name).alias("table"),
-                    label[1].alias("column"),
-                    "failures",
-                )
-            )
+        failing = [("not_null", c, F.col(c).isNull()) for c in not_null_columns.get(name, ())]
+        failing += [(check, c, f) for (check, table, c), f in rules.items() if table == name]
+        entries = []
+        for check, column, fails in failing:
+            entries.append(F.when(fails, _pair(len(labels), F.lit(None))))
+            labels.append((len(labels), check, name, column))
         for c in unique_columns.get(name, ()):
-            failing_values = unique(df, c).agg(F.count(F.lit(1)).alias("failures"))
-            parts.append(_labelled(failing_values, "unique", name, c))
+            entries.append(F.when(F.col(c).isNotNull(), _pair(len(labels), F.col(c))))
+            labels.append((len(labels), "unique", name, c))
+        if entries:
+            found = df.select(F.explode(F.array_compact(F.array(*entries))).alias("pair")).select("pair.*")
+            pairs = found if pairs is None else pairs.unionByName(found)
+    parts = []
+    if pairs is not None:
+        counted = pairs.groupBy("id", "value").agg(F.count(F.lit(1)).alias("n"))
+        failures = F.when(F.col("value").isNull(), F.col("n")).otherwise((F.col("n") > 1).cast("bigint"))
+        counted = counted.groupBy("id").agg(F.sum(failures).alias("found"))
+        spark = counted.sparkSession
+        listed = spark.createDataFrame(labels, "id int, check string, table string, column string")
+        parts.append(
+            listed.join(counted, "id", "left").select(
+                "check", "table", "column", F.coalesce("found", F.lit(0)).cast("bigint").alias("failures")
+            )
+        )
     for child, fk, parent, pk in foreign_keys:
         orphans = relationships(tables[child], fk, tables[parent], pk)
         failing_rows = orphans.agg(F.coalesce(F.sum("n_records"), F.lit(0)).alias("failures"))
@@ -231,6 +238,11 @@ def summarize(
     return out.withColumn("status", status)
 
 
+def _pair(check: int, value: Column) -> Column:
+    """A check's number and a value as text; a key's text tells its values apart."""
+    return F.struct(F.lit(check).alias("id"), value.cast("string").alias("value"))
+
+
 def _labelled(failures: DataFrame, check: str, table: str, column: str) -> DataFrame:
     return failures.select(
         F.lit(check).alias("check"),

@@ -4,7 +4,7 @@ Plain Parquet has no MERGE, and overwriting a directory while reading it fails,
 so a table here is a set of immutable Parquet directories plus a small file that
 says which of them are live:
 
-    <path>/data/<write id>/__bucket=<b>/part-*.parquet
+    <path>/data/<write id>/[__period=<p>/]__bucket=<b>/part-*.parquet
     <path>/live/<version>.json
 
 Every change writes data nobody reads yet, checks it, and only then publishes a
@@ -18,8 +18,16 @@ only the directories that hold rows it replaces; a bucket that merely gains rows
 gets one more directory. A write that finds ``MOST_DIRS`` directories in a bucket
 it adds to folds them into one, so the list is bounded by buckets, not by writes.
 
+A keyed table may also be laid out by a period (day, month or year of a date
+column): a slot is then a bucket of a period. Keys are hashes, so changes of a few
+recent rows meet every bucket, but only the directories of their own periods hold
+rows they replace. A row may move to another period when it is replaced; for tables
+whose rows never do, ``fixed_period`` lets an upsert look at the periods of its delta
+alone.
+
 A version also keeps the greatest value of each timestamp column where that is
-known without a scan.
+known without a scan, and which directories hold a watched value (an unknown key,
+say), noted when they are written.
 """
 
 from __future__ import annotations
@@ -27,7 +35,7 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections.abc import Collection, Iterable, Iterator
+from collections.abc import Collection, Iterable, Iterator, Mapping
 from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
 
@@ -37,18 +45,23 @@ from pyspark.sql import types as T
 
 from oreline.operators import files
 from oreline.operators.dedup import latest_per_key
+from oreline.operators.filters import footer_max
 from oreline.operators.quality import ContractViolation, contract_measures, contract_problems
 from oreline.schemas import Contract
 
 BUCKET = "__bucket"
+PERIOD = "__period"
 DIR = "__dir"
+# Names of the periods of a date, and of the period of rows without one.
+GRAINS = {"day": "yyyy-MM-dd", "month": "yyyy-MM", "year": "yyyy"}
+NO_PERIOD = "none"
 MODES = ("overwrite", "append", "error")
 # A bucket with this many directories is folded by the next write that adds to it.
 MOST_DIRS = 16
 # Up to this many rows a delta's keys are small enough for a broadcast
 # join by Spark's own threshold, so the rows kept stay in the tasks that read them.
 SMALL_DELTA = 500_000
-DIR_OF_FILE = rf"/data/([0-9a-f]+/{BUCKET}=[0-9]+)/[^/]+$"
+DIR_OF_FILE = rf"/data/([0-9a-f]+/(?:{PERIOD}=[^/]+/)?{BUCKET}=[0-9]+)/[^/]+$"
 # Text of a timestamp whose order is that of the times (years 1 to 9999).
 PLAIN_TIME = r"[0-9]{4}-"
 
@@ -73,6 +86,39 @@ class TableMissing(ValueError):
     """The target was never published."""
 
 
+# A bucket, or "<period>/<bucket>" of a table laid out by period.
+Slot = int | str
+
+
+@dataclass(frozen=True)
+class Layout:
+    """How the rows of a table are dealt into directories, and what is noted of these."""
+
+    key: str | None = None
+    buckets: int = 1
+    period: str | None = None
+    grain: str = "month"
+    # Columns whose value in a directory is worth noting.
+    watched: tuple[tuple[str, int], ...] = ()
+
+    def slots(self, schema: T.StructType) -> dict[str, Column]:
+        """Partition columns of rows, the period first."""
+        if not self.key:
+            return {}
+        # Rows without a key are spread by their content, not piled on one bucket.
+        content = F.xxhash64(*[F.col(f"`{name}`") for name in schema.names])
+        spread = F.when(F.col(self.key).isNull(), content).otherwise(F.xxhash64(F.col(self.key)))
+        out = {BUCKET: F.pmod(spread, F.lit(self.buckets)).cast("int")}
+        if self.period:
+            name = F.date_format(F.col(self.period), GRAINS[self.grain])
+            out = {PERIOD: F.coalesce(name, F.lit(NO_PERIOD)), **out}
+        return out
+
+    def bucket_of_key(self) -> Column:
+        """Bucket of rows that have a key; reads no other column."""
+        return F.pmod(F.xxhash64(F.col(self.key)), F.lit(self.buckets)).cast("int")
+
+
 @dataclass(frozen=True)
 class Staged:
     """Written, not yet published rows."""
@@ -80,9 +126,11 @@ class Staged:
     write_id: str
     rows: int
     schema: T.StructType
-    by_bucket: dict[int, str]
+    by_slot: dict[Slot, str]
     # Greatest value per timestamp column as text; None without one, no entry if unknown.
     highest: dict[str, str | None] = field(default_factory=dict)
+    # Directories that hold the watched value of a column.
+    marked: dict[str, list[str]] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -91,23 +139,47 @@ class Live:
 
     version: int
     schema: T.StructType
-    key: str | None
-    buckets: int
+    layout: Layout
     batch: int | None
-    dirs: dict[int, list[str]] = field(default_factory=dict)
+    dirs: dict[Slot, list[str]] = field(default_factory=dict)
     highest: dict[str, str | None] = field(default_factory=dict)
+    marked: dict[str, list[str]] = field(default_factory=dict)
+
+    @property
+    def key(self) -> str | None:
+        return self.layout.key
+
+    def listed(self) -> set[str]:
+        return {d for dirs in self.dirs.values() for d in dirs}
 
 
 class VersionedTable:
-    """A Parquet table addressed by path, optionally keyed and bucketed."""
+    """A Parquet table addressed by path, optionally keyed, bucketed and laid out by period.
+
+    ``watched`` maps columns to a value: the table knows which of its directories hold it.
+    The layout takes effect when the table is first written or overwritten.
+    """
 
     def __init__(
-        self, spark: SparkSession, path: str, key: str | None = None, buckets: int = 1
+        self,
+        spark: SparkSession,
+        path: str,
+        key: str | None = None,
+        buckets: int = 1,
+        period: str | None = None,
+        grain: str = "month",
+        fixed_period: bool = False,
+        watched: Mapping[str, int] | None = None,
     ):
+        if grain not in GRAINS:
+            raise ValueError(f"grain must be one of {sorted(GRAINS)}, not {grain!r}")
+        if period and not key:
+            raise ValueError("a layout by period needs a key")
         self.spark = spark
         self.path = path.rstrip("/")
-        self.key = key
-        self.buckets = buckets if key else 1
+        self.fixed_period = fixed_period
+        watched = tuple(sorted((watched or {}).items()))
+        self.layout = Layout(key, buckets if key else 1, period, grain, watched)
 
     # --- reading ---------------------------------------------------------------
 
@@ -120,11 +192,17 @@ class VersionedTable:
         return Live(
             version=int(names[-1].removesuffix(".json")),
             schema=T.StructType.fromJson(state["schema"]),
-            key=state["key"],
-            buckets=state["buckets"],
+            layout=Layout(
+                state["key"],
+                state["buckets"],
+                state.get("period"),
+                state.get("grain", "month"),
+                tuple((c, v) for c, v in state.get("watched", [])),
+            ),
             batch=state["batch"],
-            dirs={int(b): dirs for b, dirs in state["dirs"].items()},
+            dirs={_slot(s): dirs for s, dirs in state["dirs"].items()},
             highest=state.get("highest", {}),
+            marked=state.get("marked", {}),
         )
 
     def exists(self) -> bool:
@@ -132,7 +210,27 @@ class VersionedTable:
 
     def read(self) -> DataFrame:
         live = self._require()
-        return self._read_dirs(live.schema, [d for dirs in live.dirs.values() for d in dirs])
+        return self._read_dirs(live.schema, live.listed())
+
+    def greatest(self, column: str) -> str | None:
+        """The greatest timestamp of ``column`` as text, None without one; reads no row.
+
+        It comes with the version where that knows it, else from the files' footers.
+        """
+        live = self._require()
+        if column not in live.highest and live.listed():
+            paths = [f"{self.path}/data/{d}" for d in sorted(live.listed())]
+            found = footer_max(self.spark, paths, live.schema, column)
+            return found.select(F.col(f"max_{column}").cast("string")).first()[0]
+        return live.highest.get(column)
+
+    def read_marked(self, *columns: str) -> DataFrame:
+        """Rows of the directories that hold the watched value of any of ``columns``."""
+        live = self._require()
+        unknown = set(columns) - {c for c, _ in live.layout.watched}
+        if unknown:
+            raise ValueError(f"{self.path} does not watch {sorted(unknown)}")
+        return self._read_dirs(live.schema, {d for c in columns for d in live.marked.get(c, [])})
 
     def _require(self) -> Live:
         live = self.live()
@@ -149,23 +247,11 @@ class VersionedTable:
 
     # --- staging and publishing --------------------------------------------------
 
-    def _bucket_of(self, schema: T.StructType, key: str, buckets: int) -> Column:
-        # Rows without a key are spread by their content, not piled on one bucket.
-        content = F.xxhash64(*[F.col(f"`{name}`") for name in schema.names])
-        spread = F.when(F.col(key).isNull(), content).otherwise(F.xxhash64(F.col(key)))
-        return F.pmod(spread, F.lit(buckets)).cast("int")
-
-    @staticmethod
-    def _bucket_of_key(key: str, buckets: int) -> Column:
-        """Bucket of rows that have a key; reads no other column."""
-        return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
-
     def stage(
         self,
         df: DataFrame,
         contract: Contract | None = None,
-        key: str | None = None,
-        buckets: int | None = None,
+        layout: Layout | None = None,
         moved: bool = True,
     ) -> Staged:
         """Write ``df`` where no reader looks; measure it in the same pass.
@@ -173,8 +259,7 @@ class VersionedTable:
         ``moved=False`` leaves rows in the tasks that hold them, for rows that
         lie together by bucket already.
         """
-        key = key or self.key
-        buckets = buckets or self.buckets
+        layout = layout or self.layout
         if contract is not None:
             problems = contract_problems(df.schema, contract)
             if problems:
@@ -184,11 +269,12 @@ class VersionedTable:
         write_id = uuid.uuid4().hex
         out = f"{self.path}/data/{write_id}"
 
-        if key:
-            # Rebalancing collects a bucket's rows into few files, and lets
-            # adaptive execution split a bucket that is too big for one task.
-            df = df.withColumn(BUCKET, self._bucket_of(schema, key, buckets))
-            df = df.hint("rebalance", F.col(BUCKET)) if moved else df
+        slots = layout.slots(schema)
+        if slots:
+            # Rebalancing collects a slot's rows into few files, and lets
+            # adaptive execution split a slot that is too big for one task.
+            df = df.withColumns(slots)
+            df = df.hint("rebalance", *map(F.col, slots)) if moved else df
         # Measured last, in the writing stage: a retried shuffle cannot count twice.
         seen = Observation()
         measures = [F.count(F.lit(1)).alias("__rows")]
@@ -196,24 +282,41 @@ class VersionedTable:
             measures += contract_measures(contract)
         times = [f.name for f in schema if f.dataType == T.TimestampNTZType()]
         measures += [F.max(F.col(f"`{c}`")).cast("string").alias(f"__max {c}") for c in times]
+        # At most one value for each slot.
+        slot = F.concat_ws("/", *slots) if slots else F.lit("0")
+        watched = [(c, v) for c, v in layout.watched if c in schema.names]
+        measures += [F.collect_set(F.when(F.col(c) == v, slot)).alias(f"__has {c}") for c, v in watched]
         writer = df.observe(seen, *measures).write.mode("errorifexists")
-        (writer.partitionBy(BUCKET) if key else writer).parquet(out)
+        (writer.partitionBy(*slots) if slots else writer).parquet(out)
 
         metrics = seen.get
         rows = metrics.pop("__rows")
         greatest = {c: metrics.pop(f"__max {c}") for c in times}
         highest = {c: t for c, t in greatest.items() if t is None or re.match(PLAIN_TIME, t)}
+        holders = {c: metrics.pop(f"__has {c}") for c, _ in watched}
         broken = {name: n for name, n in metrics.items() if n}
         if broken:
             raise ContractViolation(
                 contract.table, [f"{name}: {n} row(s)" for name, n in sorted(broken.items())]
             )
-        if not key:
-            return Staged(write_id, rows, schema, {0: write_id}, highest)
-        names = files.child_names(self.spark, out)
-        found = [int(n.removeprefix(f"{BUCKET}=")) for n in names if n.startswith(BUCKET)]
-        by_bucket = {b: f"{write_id}/{BUCKET}={b}" for b in found}
-        return Staged(write_id, rows, schema, by_bucket, highest)
+        by_slot = self._slot_dirs(write_id, layout)
+        marked = {c: sorted(by_slot[_slot(name)] for name in names) for c, names in holders.items()}
+        return Staged(write_id, rows, schema, by_slot, highest, marked)
+
+    def _slot_dirs(self, write_id: str, layout: Layout) -> dict[Slot, str]:
+        """Directories of one write by slot."""
+        if not layout.key:
+            return {0: write_id}
+        root, parents = f"{self.path}/data", [write_id]
+        for name in [PERIOD] * bool(layout.period) + [BUCKET]:
+            parents = [
+                f"{parent}/{child}"
+                for parent in parents
+                for child in files.child_names(self.spark, f"{root}/{parent}")
+                if child.startswith(f"{name}=")
+            ]
+        values = [[part.partition("=")[2] for part in d.split("/")[1:]] for d in parents]
+        return {_slot("/".join(v)): d for v, d in zip(values, parents)}
 
     def check_mode(self, mode: str) -> None:
         if mode not in MODES:
@@ -232,27 +335,28 @@ class VersionedTable:
                     f"{self.path}: appended columns {staged.schema.names} "
                     f"are not the table's {live.schema.names}"
                 )
-            full = [d for b in staged.by_bucket for d in _full(live.dirs.get(b, []))]
-            dirs = self._rewritten(live, full) if full else live.dirs
-            dirs = _with_more(dirs, staged.by_bucket)
+            full = [d for s in staged.by_slot for d in _full(live.dirs.get(s, []))]
+            kept = self._rewritten(live, full) if full else live
             both = live.highest.keys() & staged.highest.keys()
             highest = {c: _later(live.highest[c], staged.highest[c]) for c in both}
-            self._commit(replace(live, version=version, dirs=dirs, highest=highest))
+            self._commit(replace(_with_more(kept, staged), version=version, highest=highest))
             return
-        dirs = {b: [d] for b, d in staged.by_bucket.items()}
-        self._commit(
-            Live(version, staged.schema, self.key, self.buckets, None, dirs, staged.highest)
-        )
+        empty = Live(version, staged.schema, self.layout, None, highest=staged.highest)
+        self._commit(_with_more(empty, staged))
 
     def _commit(self, state: Live) -> None:
         text = json.dumps(
             {
                 "schema": state.schema.jsonValue(),
-                "key": state.key,
-                "buckets": state.buckets,
+                "key": state.layout.key,
+                "buckets": state.layout.buckets,
+                "period": state.layout.period,
+                "grain": state.layout.grain,
+                "watched": state.layout.watched,
                 "batch": state.batch,
-                "dirs": {b: dirs for b, dirs in sorted(state.dirs.items()) if dirs},
+                "dirs": {s: dirs for s, dirs in sorted(state.dirs.items()) if dirs},
                 "highest": state.highest,
+                "marked": {c: sorted(dirs) for c, dirs in state.marked.items() if dirs},
             }
         )
         name = f"{state.version:012d}.json"
@@ -267,7 +371,7 @@ class VersionedTable:
         live = self.live() if mode == "append" else None
         if live is not None:
             df = self._align(df, live.schema, "fail")
-            staged = self.stage(df, contract, live.key, live.buckets)
+            staged = self.stage(df, contract, live.layout)
         else:
             staged = self.stage(df, contract)
         self.publish(staged, mode)
@@ -277,7 +381,7 @@ class VersionedTable:
         """Create the table empty where it is missing."""
         if not self.exists():
             times = {f.name: None for f in schema if f.dataType == T.TimestampNTZType()}
-            self._commit(Live(1, schema, self.key, self.buckets, None, highest=times))
+            self._commit(Live(1, schema, self.layout, None, highest=times))
 
     @contextmanager
     def work(self) -> Iterator[str]:
@@ -295,6 +399,7 @@ class VersionedTable:
         order: list[str] | None = None,
         on_schema_change: str = "ignore",
         batch: int | None = None,
+        keeps_times: bool = False,
     ) -> int:
         """Replace rows whose key is in ``source``, insert the others; never delete.
 
@@ -302,7 +407,9 @@ class VersionedTable:
         one key raise ``DuplicateKeys``; ``on_duplicate="latest"`` keeps the last
         one by ``order``. Source columns the table lacks are ignored unless
         ``on_schema_change="fail"``. A ``batch`` number that was already merged is
-        skipped, which makes replays of a stream's batch harmless.
+        skipped, which makes replays of a stream's batch harmless. ``keeps_times``
+        promises that replaced rows keep their timestamps, so the greatest ones stay
+        known.
         """
         live = self._require()
         if live.key is None:
@@ -318,21 +425,23 @@ class VersionedTable:
             with self.work() as folder:
                 stored = written(source, f"{folder}/batch")
                 latest = latest_per_key(stored, [key], order, keep_null_keys=True)
-                return self._merge(live, latest, False, batch)
+                return self._merge(live, latest, False, batch, keeps_times)
         if on_duplicate != "error":
             raise ValueError(f"unknown on_duplicate {on_duplicate!r}")
-        return self._merge(live, source, True, batch)
+        return self._merge(live, source, True, batch, keeps_times)
 
-    def _merge(self, live: Live, source: DataFrame, check: bool, batch: int | None) -> int:
+    def _merge(
+        self, live: Live, source: DataFrame, check: bool, batch: int | None, keeps_times: bool
+    ) -> int:
         key = live.key
         # The delta is written once and becomes part of the table as it is. From
         # here on it is a table of known size, so joins with it are broadcast only
         # if it is small.
-        delta = self.stage(source, key=key, buckets=live.buckets)
+        delta = self.stage(source, layout=live.layout)
         if not delta.rows:
             return 0
         keys = (
-            self._read_dirs(live.schema, delta.by_bucket.values())
+            self._read_dirs(live.schema, delta.by_slot.values())
             .select(F.col(key))
             .where(F.col(key).isNotNull())
         )
@@ -344,10 +453,15 @@ class VersionedTable:
                     f"{[r[key] for r in doubled]} in one merge batch"
                 )
 
-        candidates = [b for b in delta.by_bucket if b in live.dirs]
-        touched = {d for b in candidates for d in _full(live.dirs[b])}
+        if self.fixed_period:
+            candidates = [s for s in delta.by_slot if s in live.dirs]
+        else:
+            # A replaced row may lie in another period, but in no other bucket.
+            buckets = set(map(_bucket, delta.by_slot))
+            candidates = [s for s in live.dirs if _bucket(s) in buckets]
+        touched = {d for s in delta.by_slot for d in _full(live.dirs.get(s, []))}
         if candidates:
-            held = [d for b in candidates for d in live.dirs[b]]
+            held = [d for s in candidates for d in live.dirs[s]]
             replaced = (
                 self._with_dir(live.schema, key, held)
                 .where(F.col(key).isNotNull())
@@ -357,20 +471,19 @@ class VersionedTable:
                 .collect()
             )  # at most one row per listed directory
             touched |= {r[DIR] for r in replaced}
-        dirs = live.dirs
+        kept = live
         if touched:
-            dirs = self._rewritten(live, touched, keys, moved=delta.rows > SMALL_DELTA)
+            kept = self._rewritten(live, touched, keys, moved=delta.rows > SMALL_DELTA)
         # All of the delta stays, and all kept rows are at or before the old greatest
         # time: the delta's is the new one, unless it is less and the old row may be gone.
         highest = {
-            c: t
+            c: _later(t, live.highest[c])
             for c, t in delta.highest.items()
-            if c in live.highest and _later(t, live.highest[c]) == t
+            if c in live.highest and (keeps_times or _later(t, live.highest[c]) == t)
         }
         merged = replace(
-            live,
+            _with_more(kept, delta),
             version=live.version + 1,
-            dirs=_with_more(dirs, delta.by_bucket),
             batch=live.batch if batch is None else batch,
             highest=highest,
         )
@@ -389,18 +502,22 @@ class VersionedTable:
         touched: Collection[str],
         gone: DataFrame | None = None,
         moved: bool = False,
-    ) -> dict[int, list[str]]:
-        """Directories after those of ``touched`` were written anew without the keys ``gone``."""
+    ) -> Live:
+        """``live`` after the directories ``touched`` were written anew without the keys ``gone``."""
         old = self._read_dirs(live.schema, touched)
         if gone is not None:
             # The bucket follows from the key, so joining on both changes nothing
             # but spreads rows without a key over many tasks.
-            old = old.withColumn(BUCKET, self._bucket_of(live.schema, live.key, live.buckets))
-            gone = gone.withColumn(BUCKET, self._bucket_of_key(live.key, live.buckets))
+            old = old.withColumn(BUCKET, live.layout.slots(live.schema)[BUCKET])
+            gone = gone.withColumn(BUCKET, live.layout.bucket_of_key())
             old = old.join(gone, [live.key, BUCKET], "left_anti").select(*live.schema.names)
-        kept = self.stage(old, key=live.key, buckets=live.buckets, moved=moved)
-        rest = {b: [d for d in dirs if d not in touched] for b, dirs in live.dirs.items()}
-        return _with_more(rest, kept.by_bucket)
+        kept = self.stage(old, layout=live.layout, moved=moved)
+        rest = replace(
+            live,
+            dirs={s: [d for d in dirs if d not in touched] for s, dirs in live.dirs.items()},
+            marked={c: [d for d in dirs if d not in touched] for c, dirs in live.marked.items()},
+        )
+        return _with_more(rest, kept)
 
     def _align(self, df: DataFrame, schema: T.StructType, on_schema_change: str) -> DataFrame:
         missing = [f.name for f in schema if f.name not in df.columns]
@@ -419,14 +536,24 @@ class VersionedTable:
         Those of past versions and of writes that were never published. Removing
         them is left to the storage's own clean-up, after the longest reader.
         """
-        current = {d for dirs in self._require().dirs.values() for d in dirs}
-        out = []
+        current, out = self._require().listed(), []
         for write_id in files.child_names(self.spark, f"{self.path}/data"):
-            inside = files.child_names(self.spark, f"{self.path}/data/{write_id}")
-            buckets = [f"{write_id}/{n}" for n in inside if n.startswith(BUCKET)]
-            out += [d for d in buckets or [write_id] if d not in current]
+            out += [d for d in self._leaf_dirs(write_id) if d not in current]
         return [f"{self.path}/data/{d}" for d in out]
 
+    def _leaf_dirs(self, parent: str) -> list[str]:
+        names = files.child_names(self.spark, f"{self.path}/data/{parent}")
+        inner = [f"{parent}/{n}" for n in names if n.startswith((f"{PERIOD}=", f"{BUCKET}="))]
+        return [d for child in inner for d in self._leaf_dirs(child)] or [parent]
+
+
+def _slot(name: str) -> Slot:
+    return int(name) if name.isdigit() else name
+
+
+def _bucket(slot: Slot) -> int:
+    return int(str(slot).rpartition("/")[2])
+
 
 def _full(dirs: list[str]) -> list[str]:
     return dirs if len(dirs) >= MOST_DIRS else []
@@ -436,11 +563,14 @@ def _later(a: str | None, b: str | None) -> str | None:
     return max((t for t in (a, b) if t is not None), default=None)
 
 
-def _with_more(dirs: dict[int, list[str]], more: dict[int, str]) -> dict[int, list[str]]:
-    out = {b: list(d) for b, d in dirs.items()}
-    for b, d in more.items():
-        out.setdefault(b, []).append(d)
-    return out
+def _with_more(live: Live, more: Staged) -> Live:
+    """``live`` with the directories of a write."""
+    dirs = {s: list(d) for s, d in live.dirs.items()}
+    for s, d in more.by_slot.items():
+        dirs.setdefault(s, []).append(d)
+    columns = live.marked.keys() | more.marked.keys()
+    marked = {c: live.marked.get(c, []) + more.marked.get(c, []) for c in columns}
+    return replace(live, dirs=dirs, marked=marked)
 
 
 def work_dir(spark: SparkSession) -> str:

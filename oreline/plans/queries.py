@@ -14,17 +14,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreline.functions import surrogate_key
-from oreline.operators import quality
+from oreline.operators import files, quality
 from oreline.operators.changes import incremental, materialize, together
+from oreline.operators.colocated import store_colocated
 from oreline.operators.dedup import latest_per_key
-from oreline.operators.filters import max_value, newer_than, recent_slice
+from oreline.operators.filters import footer_max, max_value, newer_than, recent_slice
 from oreline.operators.lookups import lookup_key
 from oreline.operators.tables import VersionedTable, work_dir
 from oreline.plans import reports, runlog, silver
-from oreline.plans.warehouse import Layers, Warehouse, data_tests, source_freshness
-from oreline.schemas import GOLD_CONTRACTS, RAW_TABLES, RUN_LOG_CONTRACTS
+from oreline.plans.warehouse import (
+    COLOCATED,
+    SILVER_WATCHED,
+    Layers,
+    Warehouse,
+    data_tests,
+    relink_orders,
+    source_freshness,
+)
+from oreline.schemas import GOLD_CONTRACTS, RAW_TABLES
+from oreline.sources import SourceCatalog, ingest
 from oreline.sources.catalog import table_path
 from oreline.sources.trade import TradeFiles
+from oreline.streaming import stream_upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +45,8 @@ NEXT_BATCH = "batch-0002"
 SPLIT = "2000-01-01 00:00:00"
 AS_OF = "2001-11-20 00:00:00"
 RUN_SPLIT = "2024-01-16 00:00:00"
+RECENT = "2001-11-01 00:00:00"
+ORDER_BUCKETS = 8
 
 
 def _layers(spark: SparkSession, sf_dir: str) -> Layers:
@@ -79,6 +92,16 @@ def _watermark_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     return max_value(lines, "updated_at")
 
 
+def _footer_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The greatest ship date and the greatest order, from the statistics of the files."""
+    lines = TradeFiles(spark, sf_dir).table("lineitem")
+    days = footer_max(spark, [f"{sf_dir}/lineitem.parquet"], lines.schema, "l_shipdate")
+    keys = footer_max(spark, [f"{sf_dir}/lineitem.parquet"], lines.schema, "l_orderkey")
+    named = [x.toDF("value").select(F.lit(n).alias("column"), F.col("value").cast("string")) for n, x in (
+        ("l_shipdate", days), ("l_orderkey", keys))]
+    return named[0].union(named[1])
+
+
 def _watermark_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _layers(spark, sf_dir)["stg_order_lines"]
     return newer_than(lines, lines.where(F.col("updated_at") <= _split()), "updated_at")
@@ -125,6 +148,122 @@ def _incremental_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.read()
 
 
+def _upsert_by_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All order lines laid out by year, then an edit of the recent ones and a late arrival."""
+    lines = _layers(spark, sf_dir)["stg_order_lines"]
+    late = F.col("quantity") == 50
+    recent = F.col("updated_at") >= F.lit(RECENT).cast("timestamp_ntz")
+    path = work_dir(spark)
+    table = VersionedTable(
+        spark, f"{path}/order_lines", "sales_order_line_pk", 2, period="updated_at", grain="year"
+    )
+    table.write(lines.where(~late))
+    table.upsert(
+        lines.where(recent | late).withColumns(
+            {"quantity": (F.col("quantity") + 1).cast("int"), "dbt_batch_id": F.lit(NEXT_BATCH)}
+        )
+    )
+    return table.read()
+
+
+def _late_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines stored before some of their members arrived, linked to them later.
+
+    The headers were edited in between, which must not show: their lines did not change.
+    """
+    layers = _layers(spark, sf_dir)
+    orders, lines = layers["stg_orders"], layers["stg_order_lines"]
+    members = [layers[n] for n in ("ads_customer", "ads_product", "ads_sales_rep")]
+    there = ("country_name <> 'Netherlands'", "is_current", "region <> 'ASIA'")
+    table = VersionedTable(
+        spark,
+        f"{work_dir(spark)}/ads_sales_order",
+        "sales_order_line_pk",
+        2,
+        period="order_date",
+        grain="year",
+        watched=SILVER_WATCHED["ads_sales_order"],
+    )
+    early = [m.where(condition) for m, condition in zip(members, there)]
+    table.write(silver.sales_orders(orders, lines, *early))
+    relink_orders(table, orders.withColumn("status", F.lit("EDITED")), lines, *members)
+    return table.read()
+
+
+def _colocated_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines from headers and lines that were stored by order key."""
+    layers = _layers(spark, sf_dir)
+    path = work_dir(spark)
+    orders, lines = together(
+        {
+            name: partial(store_colocated, layers[name], f"{path}/{name}", key, ORDER_BUCKETS)
+            for name, key in COLOCATED.items()
+        }
+    ).values()
+    members = [layers[n] for n in ("ads_customer", "ads_product", "ads_sales_rep")]
+    return silver.sales_orders(orders, lines, *members, colocated=True)
+
+
+def _gold_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact written under its contract; a write that breaks it must not be seen."""
+    fact, contract = _layers(spark, sf_dir)["fact_sales"], GOLD_CONTRACTS["fact_sales"]
+    table = VersionedTable(spark, f"{work_dir(spark)}/fact_sales")
+    materialize(fact, "table", table, contract=contract)
+    has_discount = F.col("discount_amount") != 0
+    broken = fact.withColumn("net_sales_amount", F.when(has_discount, F.col("net_sales_amount")))
+    try:
+        table.write(broken.withColumn("order_status", F.lit("x" * 51)), contract=contract)
+    except quality.ContractViolation:
+        return table.read()
+    raise AssertionError("a broken write was published")
+
+
+def _landed(spark: SparkSession, sf_dir: str, name: str, blank: str) -> DataFrame:
+    """A raw table as CSV with its columns in another order and blanks, ingested, read back."""
+    path, short = work_dir(spark), name.split(".")[-1]
+    raw = TradeFiles(spark, sf_dir)(name)
+    # An empty text field is a blank either way, quoted or bare.
+    turned = raw.select(*reversed(raw.columns)).withColumn(
+        blank, F.when(F.col(blank).isNull(), "").otherwise(F.col(blank).cast("string"))
+    )
+    turned.write.options(header=True, emptyValue="").csv(f"{path}/csv/{short}.csv")
+    ingest(spark, f"{path}/csv", f"{path}/raw", tables=[short])
+    return SourceCatalog(spark, root=f"{path}/raw")(name)
+
+
+def _ingest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _landed(spark, sf_dir, "raw_sales.raw_sales_order_lines", "updated_at")
+
+
+def _ingest_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _landed(spark, sf_dir, "raw_sales.raw_sales_products", "active_to")
+
+
+def _stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last event of each user, kept by a stream that is restarted between two
+    arrivals of files, and once more after it forgot that its last batch was done."""
+    columns = ["user_id", "ts", "event_id", "event_type", "value"]
+    events = TradeFiles(spark, sf_dir).table("events").select(*columns)
+    split = F.col("ts") < F.lit(RUN_SPLIT).cast("timestamp_ntz")
+    path = work_dir(spark)
+    table = VersionedTable(spark, f"{path}/latest", key="user_id", buckets=4)
+    table.ensure(events.schema)
+
+    def catch_up() -> None:
+        arriving = spark.readStream.schema(events.schema).parquet(f"{path}/in")
+        running = stream_upsert(arriving, table, f"{path}/checkpoint", ["ts", "event_id"])
+        running.awaitTermination()
+
+    for arrived in (events.where(split), events.where(~split)):
+        arrived.write.mode("append").parquet(f"{path}/in")
+        catch_up()
+    commits = f"{path}/checkpoint/commits"
+    last = max(files.child_names(spark, commits), key=int)
+    files.delete(spark, f"{commits}/{last}")
+    catch_up()
+    return table.read()
+
+
 def _latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = TradeFiles(spark, sf_dir).table("lineitem")
     order = [
@@ -142,18 +281,23 @@ def _latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _runlog_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The node dimension after two loads of the run history."""
-    results = TradeFiles(spark, sf_dir).run_results()
+def _logged(spark: SparkSession, sf_dir: str) -> str:
+    """A run log that two loads of the run history wrote; the first creates its tables."""
+    results, path = TradeFiles(spark, sf_dir).run_results(), work_dir(spark)
     split = F.lit(RUN_SPLIT).cast("timestamp_ntz")
-    dim = spark.createDataFrame([], RUN_LOG_CONTRACTS["dim_dbt_nodes"].schema)
     for load in (F.col("run_started_at") < split, F.col("run_started_at") >= split):
-        dim = runlog.merge_nodes(dim, results.where(load))
-    return dim
+        runlog.log_results(spark, results.where(load), path, "prod")
+    return path
+
+
+def _runlog_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The node dimension after two logged loads."""
+    return VersionedTable(spark, f"{_logged(spark, sf_dir)}/dim_dbt_nodes").read()
 
 
 def _runlog_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return runlog.run_facts(TradeFiles(spark, sf_dir).run_results())
+    """The run facts after two logged loads."""
+    return VersionedTable(spark, f"{_logged(spark, sf_dir)}/fct_dbt_runs").read()
 
 
 def _contract_check(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -270,9 +414,17 @@ def queries() -> dict[str, Query]:
         "surrogate_key": _surrogate_key,
         "key_lookup": _key_lookup,
         "watermark_value": _watermark_value,
+        "footer_watermark": _footer_watermark,
         "watermark_filter": _watermark_filter,
         "recent_slice": _recent_slice,
         "upsert_merge": _upsert_merge,
+        "upsert_by_period": _upsert_by_period,
+        "late_members": _late_members,
+        "colocated_orders": _colocated_orders,
+        "gold_write": _gold_write,
+        "ingest_lines": _ingest_lines,
+        "ingest_products": _ingest_products,
+        "stream_upsert": _stream_upsert,
         "incremental_orders": _incremental_orders,
         "latest_per_key": _latest_per_key,
         "runlog_dim": _runlog_dim,

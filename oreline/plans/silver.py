@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from oreline.functions import date_key, is_open_ended, map_values, net_amount, varchar
-from oreline.operators.lookups import enrich, lookup_key, only_matching
+from oreline.operators.lookups import UNKNOWN_KEY, enrich, lookup_key, only_matching
 from oreline.operators.tables import written
 
 # Country names by code, labels of an unmapped category.
@@ -130,14 +130,20 @@ def sales_orders(
     ads_customer: DataFrame,
     ads_product: DataFrame,
     ads_sales_rep: DataFrame,
+    colocated: bool = False,
 ) -> DataFrame:
     """All order lines with their header and dimension keys.
 
     Customer and rep are looked up per order header, before the headers meet
     their lines: the lines, the largest input, are then moved for the order join
     and, if the products are too many to broadcast, for the product lookup only.
+    Lines that are stored by order key (``colocated``) meet their headers first,
+    where they lie, and are moved for the product lookup at most.
     """
     headers = _with_customer_and_rep(_headers(stg_orders), ads_customer, ads_sales_rep)
+    if colocated:
+        together = _lines(stg_order_lines).join(headers, "sales_order_pk")
+        return _measured(_with_product(together, ads_product))
     lines = _with_product(_lines(stg_order_lines), ads_product)
     return _measured(lines.join(headers, "sales_order_pk"))
 
@@ -164,3 +170,50 @@ def changed_sales_orders(
         only_matching(ads_sales_rep, "sales_rep_id", rows),
     )
     return _measured(_with_product(rows, only_matching(ads_product, "product_id", rows)))
+
+
+# Keys of an order line that point to an unknown member until it arrives.
+LATE_KEYS = ("customer_pk", "product_pk", "sales_rep_pk")
+
+
+def late_members(
+    unknown: DataFrame,
+    stg_orders: DataFrame,
+    stg_order_lines: DataFrame,
+    ads_customer: DataFrame,
+    ads_product: DataFrame,
+    ads_sales_rep: DataFrame,
+    folder: str,
+) -> DataFrame:
+    """Extension: stored order lines whose unknown members have arrived, with their keys.
+
+    ``unknown`` are rows of the stored order lines, of which only those on an unknown
+    key are looked at. Nothing but the keys changes: other edits of a header wait for
+    its lines, as ever. The rows are written down first, so that the big tables are
+    only scanned against what they mention; ``folder`` holds that until the result was
+    used.
+    """
+    late = unknown.where(" or ".join(f"{key} = {UNKNOWN_KEY}" for key in LATE_KEYS))
+    rows = written(late, f"{folder}/unknown")
+    pk, order = "sales_order_line_pk", "sales_order_pk"
+    names = only_matching(stg_order_lines, pk, rows).select(pk, "product_id")
+    headers = only_matching(stg_orders, order, rows).select(order, "customer_id", "sales_rep_id")
+    named = written(rows.join(names, pk).join(headers, order), f"{folder}/named")
+    lookups = {
+        "customer_id": (ads_customer, {"customer_pk": "new_customer_pk"}),
+        "sales_rep_id": (ads_sales_rep, {"sales_rep_pk": "new_sales_rep_pk"}),
+        "product_id": (
+            ads_product,
+            {"product_pk": "new_product_pk", "product_category_pk": "new_product_category_pk"},
+        ),
+    }
+    found = named
+    for on, (members, keys) in lookups.items():
+        found = lookup_key(found, only_matching(members, on, named), on, keys)
+    arrived = {k: (F.col(k) == UNKNOWN_KEY) & (F.col(f"new_{k}") != UNKNOWN_KEY) for k in LATE_KEYS}
+    taken = {**arrived, "product_category_pk": arrived["product_pk"]}
+    # Which rows change is seen before their keys do.
+    changed = found.where(arrived["customer_pk"] | arrived["product_pk"] | arrived["sales_rep_pk"])
+    return changed.withColumns(
+        {k: F.when(here, F.col(f"new_{k}")).otherwise(F.col(k)) for k, here in taken.items()}
+    ).select(*SALES_ORDER_COLUMNS)

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from oreline.operators import quality
 from oreline.operators.changes import incremental, materialize, together
+from oreline.operators.colocated import store_colocated
 from oreline.operators.filters import recent_slice
+from oreline.operators.lookups import UNKNOWN_KEY
 from oreline.operators.tables import VersionedTable, work_dir, written
 from oreline.plans import bronze, gold, silver
 from oreline.plans.runlog import LOGGED_TARGETS, RunRecorder, log_results
@@ -44,6 +46,13 @@ SILVER_KEYS = {
 }
 
 
+# The date that lays out a silver table, and what its directories note.
+SILVER_PERIODS = {"ads_sales_order": "order_date"}
+SILVER_WATCHED = {"ads_sales_order": dict.fromkeys(silver.LATE_KEYS, UNKNOWN_KEY)}
+# Bronze tables that are joined whole, and the key of that join.
+COLOCATED = {"stg_orders": "sales_order_pk", "stg_order_lines": "sales_order_pk"}
+
+
 class Layers(Mapping):
     """The whole warehouse as lazy relations, each built when it is asked for.
 
@@ -112,18 +121,29 @@ class Warehouse:
     """Bronze, silver and gold tables below ``root``.
 
     ``buckets`` sets how finely silver tables are split for merging; size it so
-    that a bucket of the order lines holds a few gigabytes. It takes effect when
-    a table is first built or fully refreshed.
+    that a bucket of the order lines holds a few gigabytes. ``grain`` (day, month or
+    year) lays the order lines out by order date as well, so that a change of recent
+    lines rewrites recent directories only; a bucket is then one of a period. Both take
+    effect when a table is first built or fully refreshed.
     """
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 8):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 8, grain: str | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.buckets = buckets
+        self.grain = grain
 
     def table(self, name: str) -> VersionedTable:
-        key = SILVER_KEYS.get(name)
-        return VersionedTable(self.spark, f"{self.root}/{name}", key, self.buckets)
+        period = SILVER_PERIODS.get(name) if self.grain else None
+        return VersionedTable(
+            self.spark,
+            f"{self.root}/{name}",
+            SILVER_KEYS.get(name),
+            self.buckets,
+            period=period,
+            grain=self.grain or "month",
+            watched=SILVER_WATCHED.get(name),
+        )
 
     def run(
         self,
@@ -135,18 +155,28 @@ class Warehouse:
         keep_bronze: bool = False,
         recorder: RunRecorder | None = None,
         lookback_days: int = 0,
+        relink: bool = False,
+        colocated_buckets: int = 0,
     ) -> dict[str, DataFrame]:
         """One load: refresh silver by what changed, rebuild gold, return all tables.
 
         Bronze relations stay views, except order headers; ``keep_bronze`` writes
         them all, which pays when they are read again (by the data tests, say).
         ``lookback_days`` re-reads that many days before each watermark for late rows.
+        ``relink`` gives stored order lines the keys of members that arrived after them,
+        looking only into directories that hold an unknown key. ``colocated_buckets``
+        stores order headers and lines by order key in that many buckets, so that their
+        join moves neither; that pays for full refreshes.
         A failed step stops the load; a ``recorder`` notes how every step went.
         """
         lazy = Layers(source, batch_id, recent_days, as_of)
         recorder = recorder or RunRecorder(batch_id, "")
 
         def bronze_table(name: str) -> DataFrame:
+            if colocated_buckets and name in COLOCATED:
+                path = f"{work_dir(self.spark)}/{name}"
+                with recorder.step(name, "bronze", "table"):
+                    return store_colocated(lazy[name], path, COLOCATED[name], colocated_buckets)
             stored = keep_bronze or name == "stg_orders"
             kind, target = ("table", self.table(name)) if stored else ("view", None)
             with recorder.step(name, "bronze", kind) as note:
@@ -192,12 +222,19 @@ class Warehouse:
             tables["ads_sales_order"] = silver_table(
                 "ads_sales_order",
                 tables["stg_order_lines"],
-                lambda lines: silver.sales_orders(orders, lines, *others),
+                lambda lines: silver.sales_orders(
+                    orders, lines, *others, colocated=colocated_buckets > 0
+                ),
                 "order_line_updated_at",
                 build_changes=lambda lines, folder: silver.changed_sales_orders(
                     lines, orders, *others, folder
                 ),
             )
+            if relink:
+                with recorder.step("ads_sales_order_relinked", "silver", "incremental") as note:
+                    lines = tables["stg_order_lines"]
+                    note["rows_affected"] = self.relink(orders, lines, *others)
+                tables["ads_sales_order"] = self.table("ads_sales_order").read()
             star = gold.build_star(tables)
             tables |= together({name: partial(gold_table, name, df) for name, df in star.items()})
         finally:
@@ -207,6 +244,13 @@ class Warehouse:
                 recorder.skip(name, "gold", "table")
         return tables
 
+    def relink(self, orders: DataFrame, lines: DataFrame, *members: DataFrame) -> int:
+        """Point stored order lines to customers, products and reps that arrived late.
+
+        ``members`` are the silver tables of these three. Returns the lines relinked.
+        """
+        return relink_orders(self.table("ads_sales_order"), orders, lines, *members)
+
     def build(
         self,
         source: Source,
@@ -238,6 +282,18 @@ class Warehouse:
         return tables, tests
 
 
+def relink_orders(
+    table: VersionedTable, orders: DataFrame, lines: DataFrame, *members: DataFrame
+) -> int:
+    """Give order lines of ``table`` the keys of members that arrived after them."""
+    if not any(table.live().marked.get(c) for c in silver.LATE_KEYS):
+        return 0
+    unknown = table.read_marked(*silver.LATE_KEYS)
+    with table.work() as folder:
+        found = silver.late_members(unknown, orders, lines, *members, folder)
+        return table.upsert(found, keeps_times=True)
+
+
 def data_tests(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Every declared data test over the given tables, one result row each."""
     rules = {

@@ -92,9 +92,10 @@ def ingest(
     if tables is not None:
         tables = list(tables)
         by_name = {alias: name for name in specs for alias in (name, name.rpartition(".")[2])}
-        chosen = {by_name.get(t) for t in tables}
-        if None in chosen:
-            raise ValueError(f"no layout is declared for some of {sorted(set(tables))}")
+        strangers = sorted(set(tables) - set(by_name))
+        if strangers:
+            raise ValueError(f"tables without a declared layout: {', '.join(strangers)}")
+        chosen = {by_name[t] for t in tables}
         specs = {name: schema for name, schema in specs.items() if name in chosen}
 
     frames = {

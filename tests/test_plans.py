@@ -20,7 +20,10 @@ from oreline.schemas import RAW_TABLES
 from oreline.sources.trade import LAYOUT, TradeFiles
 
 SF_DIR = "/root/testdata/sf0.001"
-WRITING = {"upsert_merge", "incremental_orders", "dq_summary"}
+WRITING = {
+    "upsert_merge", "upsert_by_period", "late_members", "incremental_orders", "dq_summary",
+    "gold_write", "ingest_lines", "ingest_products", "stream_upsert", "runlog_dim", "runlog_fact",
+}
 
 
 def plan(df) -> str:

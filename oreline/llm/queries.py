@@ -97,7 +97,7 @@ def _pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    return suffix_dedup.remove_repeats(docs, length=REPEAT_BYTES).drop("text")
+    return suffix_dedup.remove_repeats(docs, length=REPEAT_BYTES)
 
 
 def _minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,12 +1,13 @@
 """Removal of long byte strings that repeat anywhere in a corpus.
 
 A corpus has no place for one suffix array, so its windows are first brought
-together by content. The least hash of the first ``SPAN`` places of a window
+together by content. The least hash of the first three quarters of a window's places
 is its anchor; equal windows have equal anchors, at the same place, and share
-the ``core`` that every window of that anchor covers. Only cores that occur
-twice go on. Where their surroundings differ, each piece of ``PIECE`` windows
-becomes a short string (left flank, one symbol for the common core, right flank)
-and a suffix array over those strings finds which windows repeat.
+the ``core`` that every window of that anchor covers, and the ``span`` is what they
+cover together. Only cores that occur twice go on; all windows of a repeated span
+repeat. Where spans of a core differ, one of each is cut into pieces of ``PIECE``
+windows; a piece becomes a short string (left flank, one symbol for the core of these
+windows, right flank) and a suffix array over those strings finds which windows repeat.
 
 The suffix array is built by linear grouping: suffixes are grouped by their
 Lyndon prefix, groups are processed in descending order with pointers to the
@@ -14,7 +15,9 @@ previous smaller suffix, and the order inside the groups follows from one pass.
 
 Groups are counted before anything is joined. A core with more than
 ``SPLIT_ABOVE`` surroundings, as around a passage that many documents quote, is
-split by single windows, which are counted the same way.
+split: each half of its windows has bytes of one flank in common, which join the core.
+Halves are counted and split again until they fit the array or are one window, which
+is its core.
 
 Cases: null texts are empty; texts shorter than the length lose nothing; repeated
 rows are copies of each other; null and repeated ids are told apart by the text's
@@ -26,21 +29,24 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from oreline.llm.common import meet_totals, require, stored
+from oreline.llm.common import discard, kept, meet_totals, require, scratch, stored
 
 GRAM = 16  # bytes hashed at a place
 PIECE = 25
 SPLIT_ABOVE = 128
 SEGMENT = 1 << 18
 SYMBOLS = 1 << 16  # of one suffix array, unless one group has more
+PIECES_PER_TASK = 4096
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -153,7 +159,7 @@ def anchors(data: np.ndarray, length: int) -> dict[str, np.ndarray]:
     start of its windows, ``core`` and ``span`` the hashes of what each of these
     windows has and of what they have together.
     """
-    search = length // 2
+    search = 3 * length // 4
     gram = min(GRAM, length - search)
     parts = []
     for first in range(0, len(data) - length + 1, SEGMENT):
@@ -227,7 +233,7 @@ def _piece_rows(wanted: DataFrame, length: int) -> DataFrame:
     """Pieces of the windows of chosen anchors: flanks and the hash of the core."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = ["key", "mark", "at", "core", "near", "first", "last", "left", "right"]
+        columns = ["key", "mark", "at", "core", "near", "far", "first", "last", "left", "right"]
         for batch in batches:
             out: list[tuple] = []
             for key, mark, text, chosen in zip(
@@ -250,6 +256,7 @@ def _piece_rows(wanted: DataFrame, length: int) -> DataFrame:
                                 at,
                                 core - (1 << 63),
                                 near,
+                                far,
                                 max(near, at - high),
                                 min(far, at - low),
                                 data[max(0, at - far) : begin],
@@ -260,19 +267,53 @@ def _piece_rows(wanted: DataFrame, length: int) -> DataFrame:
                 yield pd.DataFrame(out, columns=columns).astype({"key": "Int64"})
 
     schema = (
-        "key long, mark long, at long, core long, near long, first long, last long, "
+        "key long, mark long, at long, core long, near long, far long, first long, last long, "
         "left binary, right binary"
     )
     return wanted.mapInPandas(cut, schema)
 
 
-def _repeats_in(block: pd.DataFrame) -> np.ndarray:
-    """Per piece, a row of flags: which of its windows occur twice in the block."""
+def _halves(pieces: DataFrame) -> DataFrame:
+    """Each piece as two, of half its windows, with cores that are longer by what these share.
+
+    A window ``offset`` bytes before its anchor covers the piece's core, the last
+    ``offset - near`` bytes of the left flank and the first ``far - offset`` of the right.
+    """
+    low = pieces.withColumns(
+        {
+            "mid": F.expr("cast((near + far + 1) div 2 as int)"),
+            "near": F.col("near").cast("int"),
+            "far": F.col("far").cast("int"),
+        }
+    )
+    # Bytes that a half adds to its core; a text's end may leave less, but then it has
+    # no window that needs them.
+    after = low.select(
+        "key", "mark", "at",
+        F.expr("xxhash64(core, 1, substring(right, 1, far - mid + 1))").alias("core"),
+        "near", F.expr("mid - 1").alias("far"), "first", F.expr("least(last, mid - 1)").alias("last"),
+        F.expr("substring(left, near + 1 - mid, mid - 1 - near)").alias("left"),
+        F.expr("substring(right, far - mid + 2, mid - 1 - near)").alias("right"),
+    )
+    before = low.select(
+        "key", "mark", "at",
+        F.expr("xxhash64(core, 2, substring(left, near - mid, mid - near))").alias("core"),
+        F.col("mid").alias("near"), "far", F.expr("greatest(first, mid)").alias("first"), "last",
+        F.expr("substring(left, 1, greatest(length(left) - (mid - near), 0))").alias("left"),
+        F.expr("substring(right, 1, far - mid)").alias("right"),
+    )
+    kinds = dict(pieces.dtypes)
+    return after.union(before).where("first <= last").select(
+        *[F.col(c).cast(kinds[c]).alias(c) for c in pieces.columns]
+    )
+
+
+def _repeats_in(block: pd.DataFrame, width: int) -> np.ndarray:
+    """Per piece of ``width`` windows at most, flags: which of them occur twice in the block."""
     text: list[int] = []
-    owner: list[tuple[int, int]] = []
     cores: dict[int, int] = {}
     stop = -2
-    begins = []
+    begins, ends = [], []
     for core, left, right in zip(block["core"], block["left"], block["right"]):
         begins.append(len(text) + len(left))
         text.extend(left)
@@ -280,24 +321,29 @@ def _repeats_in(block: pd.DataFrame) -> np.ndarray:
         text.extend(right)
         text.append(stop)
         stop -= 1
+        ends.append(len(text))
     order = np.array(suffix_array(text))
-    symbols = np.array(text + [-1] * PIECE)
+    symbols = np.array(text + [-1] * width)
+    # A window is as many symbols as its piece has windows, the core one of them.
+    wide = (block["far"] - block["near"] + 1).to_numpy()
+    wide = np.repeat(wide, np.diff(ends, prepend=0))
     one, two = order[:-1], order[1:]
-    same = np.ones(len(one), bool)
-    for k in range(PIECE):  # a window is PIECE symbols, the core one of them
-        same &= symbols[one + k] == symbols[two + k]
+    alike, same = np.ones(len(one), bool), np.zeros(len(one), bool)
+    for k in range(width):
+        alike &= symbols[one + k] == symbols[two + k]
+        same |= alike & (wide[one] == k + 1)
     twice = np.zeros(len(text) + 1, bool)
     twice[one[same]] = True
     twice[two[same]] = True
-    place = np.array(begins)[:, None] - np.arange(PIECE)[None, :]
-    inside = (block["near"].to_numpy()[:, None] + np.arange(PIECE)[None, :])
+    place = np.array(begins)[:, None] - np.arange(width)[None, :]
+    inside = (block["near"].to_numpy()[:, None] + np.arange(width)[None, :])
     inside = (inside >= block["first"].to_numpy()[:, None]) & (
         inside <= block["last"].to_numpy()[:, None]
     )
     return twice[np.maximum(place, 0)] & (place >= 0) & inside
 
 
-def _suffix_sorted(pieces: DataFrame, length: int) -> DataFrame:
+def _suffix_sorted(pieces: DataFrame, length: int, width: int) -> DataFrame:
     """Repeated windows of pieces that lie together by core, as byte ranges."""
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -317,7 +363,7 @@ def _suffix_sorted(pieces: DataFrame, length: int) -> DataFrame:
             yield ranges(rest)
 
     def ranges(block: pd.DataFrame) -> pd.DataFrame:
-        flags = _repeats_in(block)
+        flags = _repeats_in(block, width)
         row, step = np.nonzero(flags)
         found = block.iloc[row]
         start = found["at"].to_numpy() - found["near"].to_numpy() - step
@@ -345,19 +391,19 @@ def repeated_ranges(
     )
     cores = cores.where("n > 1").select("core", (F.col("least") != F.col("most")).alias("mixed"))
     again = stored(meet_totals(found, cores, "core"), "again")
-    mixed = again.where("mixed")
-    spans = mixed.groupBy("core", "span").agg(
+    discard(found)
+    spans = again.groupBy("core", "span").agg(
         F.count(F.lit(1)).alias("n"),
+        F.max("mixed").alias("mixed"),
         F.min(F.struct(F.col("key").isNull().alias("none"), "key", "mark", "at", "low", "high")).alias(
             "one"
         ),
     )
     spans = stored(spans, "spans")
-    copies = mixed.join(spans.where("n > 1").select("core", "span"), ["core", "span"])
-    columns = ["key", "mark", F.col("low").alias("start"), (F.col("high") + length).alias("end")]
-    whole = again.where("not mixed").select(*columns).union(copies.select(*columns))
+    copies = meet_totals(again, spans.select("core", "span", "n"), "core", "span").where("n > 1")
+    whole = copies.select("key", "mark", F.col("low").alias("start"), (F.col("high") + length).alias("end"))
 
-    chosen = spans.select("one.*").groupBy("key", "mark").agg(
+    chosen = spans.where("mixed").select("one.*").groupBy("key", "mark").agg(
         F.collect_list(F.struct("at", "low", "high")).alias("chosen")
     )
     wanted = rows.join(
@@ -365,37 +411,37 @@ def repeated_ranges(
         F.expr("key <=> of and mark = with"),
     ).select("key", "mark", "text", "chosen")
     pieces = stored(_piece_rows(wanted, length).dropDuplicates(["key", "mark", "at", "near"]), "pieces")
-    crowd = pieces.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    pieces = stored(meet_totals(pieces, crowd, "core"), "crowded")
-    ordinary = pieces.where(F.col("n") <= SPLIT_ABOVE).repartition("core")
-    sorted_ = _suffix_sorted(ordinary.sortWithinPartitions("core"), length)
-
-    # A window of a crowded core: the core, and what it has of both flanks.
-    hot = pieces.where(F.col("n") > SPLIT_ABOVE).withColumn(
-        "offset", F.explode(F.sequence("first", "last"))
-    )
-    before = (F.col("offset") - F.col("near")).cast("int")
-    hot = hot.select(
-        "key",
-        "mark",
-        (F.col("at") - F.col("offset")).alias("start"),
-        "core",
-        "offset",
-        F.expr("substring(left, cast(length(left) - (offset - near) + 1 as int))").alias("before"),
-        F.substring("right", F.lit(1), F.lit(PIECE - 1) - before).alias("after"),
-    ).select("key", "mark", "start", "core", "offset", F.xxhash64("before", F.lit(0), "after").alias("flanks"))
-    window = ["core", "offset", "flanks"]
-    twice = hot.groupBy(*window).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    single = meet_totals(hot, twice, *window).select(
-        "key", "mark", "start", (F.col("start") + length).alias("end")
-    )
-    return whole.union(sorted_).union(single)
-
-
-def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    return reduce(DataFrame.union, [whole, *_repeated_pieces(pieces, length)])
+
+
+def _repeated_pieces(pieces: DataFrame, length: int) -> list[DataFrame]:
+    """Repeated windows of ``pieces`` as byte ranges, a frame for each width of pieces."""
+    out, width = [], PIECE
+    while True:
+        crowd = pieces.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        met = stored(meet_totals(pieces, crowd, "core"), "crowded")
+        discard(pieces)
+        if width == 1:  # a window is its core
+            start = F.col("at") - F.col("near")
+            out.append(met.select("key", "mark", start.alias("start"), (start + length).alias("end")))
+            return out
+        ordinary = met.where(F.col("n") <= SPLIT_ABOVE)
+        # Few bytes but much work a row, so the number of tasks follows the rows.
+        tasks = max(1, -(-ordinary.count() // PIECES_PER_TASK))
+        dealt = ordinary.repartition(tasks, "core").sortWithinPartitions("core")
+        out.append(_suffix_sorted(dealt, length, width))
+        rest = met.where(F.col("n") > SPLIT_ABOVE).drop("n")
+        if rest.isEmpty():
+            return out
+        width = -(-width // 2)
+        pieces = stored(_halves(rest), "halves")
+
+
+def _keyed(docs: DataFrame, doc_id: str, text: str, *more: F.Column) -> DataFrame:
     body = F.coalesce(F.col(text), F.lit(""))
+    body_of = [F.col(text).alias("raw")] if more else [body.alias("text")]
     return docs.select(
-        F.col(doc_id).cast("long").alias("key"), F.xxhash64(body).alias("mark"), body.alias("text")
+        *more, F.col(doc_id).cast("long").alias("key"), F.xxhash64(body).alias("mark"), *body_of
     )
 
 
@@ -411,26 +457,26 @@ def remove_repeats(
     require(docs, doc_id, text)
     added = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
     docs = docs.drop(*[c for c in added if c not in (doc_id, text)])
-    ranges = repeated_ranges(docs, doc_id, text, length)
-    each = ranges.distinct().groupBy("key", "mark").agg(
-        F.collect_list(F.struct("start", "end")).alias("ranges")
-    )
-    each = each.select(F.struct("key", "mark", "ranges").alias("cut__"))
-    joined = docs.join(
-        each,
-        F.col(doc_id).cast("long").eqNullSafe(F.col("cut__.key"))
-        & (F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col("cut__.mark")),
-        "left",
-    )
-    joined = joined.withColumn("cut__", F.col("cut__.ranges"))
+    columns = docs.columns
+    with scratch(docs.sparkSession):
+        ranges = repeated_ranges(docs, doc_id, text, length)
+        each = ranges.distinct().groupBy("key", "mark").agg(
+            F.collect_list(F.struct("start", "end")).alias("ranges")
+        )
+        each = kept(each.toDF("of", "with", "ranges"), "ranges")
+    # The caller's columns travel in one, whatever their names.
+    own = F.struct(*[F.col(f"`{c}`") for c in columns if c != text]).alias("own")
+    rows = _keyed(docs, doc_id, text, own).withColumnRenamed("raw", "body")
+    joined = rows.join(each, F.expr("key <=> of and mark = with"), "left")
+    joined = joined.select("own", "body", "ranges")
     kinds = (LongType(), LongType(), LongType(), StringType())
     new = [StructField(name, kind) for name, kind in zip(added, kinds)]
-    schema = StructType([*docs.schema.fields, *new])
+    schema = StructType([rows.schema["own"], StructField("body", StringType()), *new])
 
-    def shorten(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, rows = [], []
-            for body, cut in zip(batch[text], batch["cut__"]):
+            for body, cut in zip(batch.column("body").to_pylist(), batch.column("ranges").to_pylist()):
                 data = _bytes(body)
                 kept, n_spans = data, 0
                 if cut is not None and len(cut):
@@ -445,10 +491,14 @@ def remove_repeats(
                 rows.append(
                     (len(data), len(data) - len(kept), n_spans, hashlib.sha256(kept).hexdigest())
                 )
-            out = batch.drop(columns="cut__")
-            out[text] = texts
-            for k, name in enumerate(added):
-                out[name] = [r[k] for r in rows]
-            yield out
-
-    return joined.mapInPandas(shorten, schema)
+            columns = [[r[k] for r in rows] for k in range(len(added))]
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string())
+            results = [pa.array(c, kind) for c, kind in zip(columns, kinds)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("own"), pa.array(texts, pa.string()), *results],
+                names=["own", "body", *added],
+            )
+
+    out = joined.mapInArrow(shorten, schema)
+    shown = [F.col("body").alias(c) if c == text else F.col(f"own.`{c}`") for c in columns]
+    return out.select(*shown, *added)

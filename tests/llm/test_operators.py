@@ -67,7 +67,7 @@ def test_suffix_array():
         assert suffix_dedup.suffix_array(t) == sorted(range(n), key=lambda i: t[i:])
 
 
-@pytest.mark.parametrize("split", [128, 1])
+@pytest.mark.parametrize("split", [128, 3, 1])
 def test_repeats_are_those_of_brute_force(docs, monkeypatch, split):
     monkeypatch.setattr(suffix_dedup, "SPLIT_ABOVE", split)
     rows = docs.collect()

@@ -12,7 +12,10 @@ from pyspark.sql import functions as F
 
 from oreline.llm import minhash, mixing, pieces, quality_classifier, suffix_dedup
 from oreline.llm.common import documents, stored
-from oreline.llm.queries import GOOD_SCORE, REPEAT_BYTES, pieces_path
+from oreline.llm.queries import GOOD_SCORE, pieces_path
+
+# Bytes of a repeated string; fifty words have some 240 to 470.
+REPEAT_BYTES = 240
 
 # SQL cannot express the stages; tests hold them against brute force.
 ORACLE_SQL = None

@@ -7,11 +7,13 @@ source and joined with that source's blocks, which are cut from its documents in
 an order shuffled by hash; a source that needs more than it has starts again.
 
 Ranks and running sums are computed in two levels (chunks of slots, ranges of
-hashes), so a source with most of the rows is not gathered in one task.
+hashes), so a source with most of the rows is not gathered in one task. Only sizes
+and hashes move; texts are read to be counted, and once more to be copied.
 
 Cases: a null source is a source, the last; null and blank texts have no words
-and are taken zero times; repeated rows are rows like others; a source without
-words gets no slots; an empty table gives an empty result. Further columns stay.
+and are taken zero times; repeated rows are rows like others (their copies are dealt
+out evenly); a source without words gets no slots; an empty table gives an empty
+result. Further columns are ignored by ``mix`` and stay in ``copies``.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from oreline.llm.common import require, stored, word_count
+from oreline.llm.common import kept, require, scratch, stored, word_count
 
 BLOCK_WORDS = 32
 MOST_REPEATS = 3
@@ -31,23 +33,30 @@ CHUNK_BITS = 12
 RANGE_BITS = 12
 
 
-def sized(docs: DataFrame, text: str = "text", source: str = "source") -> DataFrame:
-    """``docs`` with ``mix_*`` columns: size, source number, place in its shuffled source."""
-    size = word_count(F.col(text))
-    shuffle = F.xxhash64(*[F.col(c) for c in sorted({"doc_id", source, text} & set(docs.columns))])
-    return docs.withColumns({"mix_size": size, "mix_order": shuffle})
+def sized(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source"
+) -> DataFrame:
+    """``(doc_id, source, mix_size, mix_order)``: size, and place in the shuffled source."""
+    return docs.select(
+        F.col(doc_id).alias("doc_id"),
+        F.col(source).alias("source"),
+        word_count(F.col(text)).alias("mix_size"),
+        _order(doc_id, text, source).alias("mix_order"),
+    )
+
+
+def _order(doc_id: str, text: str, source: str) -> F.Column:
+    return F.xxhash64(F.col(doc_id), F.col(source), F.col(text))
 
 
-def targets(sized_docs: DataFrame, source: str = "source") -> DataFrame:
+def targets(sized_docs: DataFrame) -> DataFrame:
     """One row per source: number, size, weight, target.
 
     Weights 1, 2, 3 repeat over the sources by code point, null last. Targets
     share all words by weight and stop at three times their source's size; what
     is cut off is shared by weight among the others until none is above.
     """
-    each = sized_docs.groupBy(F.col(source).alias("source")).agg(
-        F.sum("mix_size").alias("source_size")
-    )
+    each = sized_docs.groupBy("source").agg(F.sum("mix_size").alias("source_size"))
     number = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1  # sources only
     weight = F.element_at(F.array(*map(F.lit, WEIGHTS)), (F.col("number") % len(WEIGHTS) + 1).cast("int"))
     each = each.withColumn("number", number).withColumn("weight", weight)
@@ -97,18 +106,24 @@ def schedule(shares: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
 
 def mix(
     docs: DataFrame,
+    doc_id: str = "doc_id",
     text: str = "text",
     source: str = "source",
     block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
-    """``docs`` with ``size``, ``source_size``, ``target`` and ``taken`` (words, with repeats).
+    """``(doc_id, source, size, source_size, target, taken, mix_order)`` of each document.
 
-    Columns of those names are replaced. No document is taken more than three times.
+    ``taken`` is the number of its words that the mix takes, with repeats; no document
+    is taken more than three times. ``mix_order`` is the hash that shuffles the source.
     """
-    require(docs, text, source)
-    docs = docs.drop(*[c for c in ("size", "source_size", "target", "taken") if c not in (text, source)])
-    rows = stored(sized(docs, text, source), "sized")
-    shares = stored(targets(rows, source), "targets")
+    require(docs, doc_id, text, source)
+    with scratch(docs.sparkSession):
+        rows = stored(sized(docs, doc_id, text, source), "sized")
+        return kept(_mixed(rows, block_words), "mixed")
+
+
+def _mixed(rows: DataFrame, block_words: int) -> DataFrame:
+    shares = stored(targets(rows), "targets")
     known = shares.select(
         F.col("source").alias("mix_source"),
         F.col("number").alias("mix_number"),
@@ -116,7 +131,7 @@ def mix(
         F.col("target").alias("mix_target"),
     )
     # Sources are few against documents, but no bound on them is known: a plain join.
-    rows = rows.join(known, F.col(source).eqNullSafe(F.col("mix_source")))
+    rows = rows.join(known, F.expr("source <=> mix_source"))
     rows = rows.withColumn("mix_range", F.shiftright("mix_order", 64 - RANGE_BITS))
     ahead = Window.partitionBy("mix_number").orderBy("mix_range")
     ranges = rows.groupBy("mix_number", "mix_range").agg(F.sum("mix_size").alias("n"))
@@ -150,16 +165,32 @@ def mix(
     taken = taken.withColumnsRenamed({"mix_number": "of", "mix_start": "from"})
     out = placed.join(taken, F.expr("mix_number = of and mix_start = from and mix_size > 0"), "left")
     return out.select(
-        *docs.columns,
+        "doc_id",
+        "source",
         F.col("mix_size").alias("size"),
         F.col("mix_total").alias("source_size"),
         F.col("mix_target").alias("target"),
         F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
+        "mix_order",
     )
 
 
-def copies(mixed: DataFrame) -> DataFrame:
-    """The mixed corpus: each document as often as its taken words say, rounded."""
-    times = F.round(F.col("taken") / F.col("size")).cast("int")
-    repeated = mixed.where("size > 0").withColumn("mix_copy", F.explode(F.array_repeat(F.lit(0), times)))
-    return repeated.drop("mix_copy", "size", "source_size", "target", "taken")
+def copies(
+    docs: DataFrame,
+    mixed: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+) -> DataFrame:
+    """The mixed corpus: each row of ``docs`` as often as its taken words say, rounded.
+
+    ``mixed`` is the result of ``mix`` for the same rows.
+    """
+    times = F.round(F.avg(F.col("taken") / F.col("size"))).cast("int")
+    taken = mixed.where("size > 0").groupBy("mix_order").agg(times.alias("times")).where("times > 0")
+    own = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own"),
+        _order(doc_id, text, source).alias("mix_order"),
+    )
+    repeated = own.join(taken, "mix_order").select("own", F.explode(F.array_repeat(F.lit(0), F.col("times"))))
+    return repeated.select(*[F.col(f"own.`{c}`") for c in docs.columns])

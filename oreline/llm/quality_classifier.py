@@ -21,12 +21,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import BinaryType, DoubleType, StructField, StructType
 
-from oreline.llm.common import require
+from oreline.llm.common import require, scratch, stored
 
 PLACE_BITS = 16
 PLACES = 1 << PLACE_BITS
@@ -63,9 +64,10 @@ class _Codes(dict):
         return out
 
 
-def features(text: str | None, codes: dict) -> np.ndarray:
-    """Distinct places of the n-grams of a text."""
-    words = (text or "").encode("utf-8", "surrogatepass").split()
+def features(text: str | bytes | None, codes: dict) -> np.ndarray:
+    """Distinct places of the n-grams of a text, in order."""
+    data = text or b""
+    words = (data if isinstance(data, bytes) else data.encode("utf-8", "surrogatepass")).split()
     if not words:
         return np.empty(0, np.int64)
     pairs = np.array(list(map(codes.__getitem__, words)), np.uint64)
@@ -129,19 +131,21 @@ def _curve(margins: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> tuple
     return float(at[0]), float(at[1])
 
 
-def fit(train: DataFrame, text: str = "text", label: str = "label") -> Model:
-    """Model for label 1 against label 0; ``train`` holds training rows only."""
-    require(train, text, label)
-    rows = train.where(F.col(label).isin(0, 1)).select(
-        F.col(text).alias("text"), F.col(label).cast("int").alias("label")
-    )
+def fit(train: DataFrame) -> Model:
+    """Model for label 1 against label 0; ``train`` is what ``training_rows`` returns."""
+    require(train, "id", "places", "label")
+    with scratch(train.sparkSession):
+        rows = train.where(F.col("label").isin(0, 1))
+        return _fitted(stored(rows.select("id", "places", F.col("label").cast("int").alias("label")), "train"))
+
+
+def _fitted(rows: DataFrame) -> Model:
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        codes = _Codes()
         table, docs = np.zeros((2, PLACES), np.int64), np.zeros(2, np.int64)
         for batch in batches:
-            for body, y in zip(batch["text"], batch["label"]):
-                table[y, features(body, codes)] += 1
+            for places, y in zip(batch["places"], batch["label"]):
+                table[y, np.frombuffer(places, np.uint16)] += 1
                 docs[y] += 1
         some = np.flatnonzero(table.any(axis=0))
         yield pd.DataFrame(
@@ -167,13 +171,13 @@ def fit(train: DataFrame, text: str = "text", label: str = "label") -> Model:
     ratios[(one + zero) < 2 * SMOOTH + 2] = 0  # seen once: says nothing
 
     def draw(y: int) -> DataFrame:
-        order = F.xxhash64("text", F.lit(y))
-        return rows.where(F.col("label") == y).orderBy(order, "text").limit(SAMPLE_PER_CLASS)
+        # By id as well: copies of one text do not lie together.
+        order = F.xxhash64("id", "places", F.lit(y))
+        return rows.where(F.col("label") == y).orderBy(order, "places").limit(SAMPLE_PER_CLASS)
 
     def learn(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["label", "text"], na_position="first")
-        codes = _Codes()
-        found = [features(body, codes) for body in group["text"]]
+        group = group.sort_values(["label", "places"])
+        found = [np.frombuffer(places, np.uint16).astype(np.int64) for places in group["places"]]
         y = group["label"].to_numpy() * 2.0 - 1
         weights, bias = descend(found, y, ratios)
         margins = np.array([weights[r].sum() for r in found]) + bias
@@ -212,10 +216,26 @@ def held_out(doc_id: str = "doc_id") -> F.Column:
 
 
 def training_rows(
-    docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", label: str = "quality"
+    docs: DataFrame,
+    labels: DataFrame,
+    doc_id: str = "doc_id",
+    label: str = "quality",
+    text: str = "text",
 ) -> DataFrame:
-    """``(text, label)`` of the labelled documents that may be learned from."""
+    """``(id, places, label)`` of the labelled documents that may be learned from.
+
+    Texts become packed feature places where they are read; only these meet the labels.
+    """
     marks = labels.select(F.col(doc_id).alias("of"), F.col(label).alias("label"))
     marks = marks.where("label is not null").where(~held_out("of")).distinct()
-    rows = docs.select(F.col(doc_id).alias("id"), "text")
-    return rows.join(marks, F.col("id") == F.col("of")).select("text", "label")
+    rows = docs.where(~held_out(doc_id)).select(F.col(doc_id).alias("id"), F.col(text).cast("binary").alias("text"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes = _Codes()
+        for batch in batches:
+            found = [features(body, codes) for body in batch.column("text").to_pylist()]
+            packed = pa.array([f.astype(np.uint16).tobytes() for f in found], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), packed], names=["id", "places"])
+
+    schema = StructType([rows.schema["id"], StructField("places", BinaryType())])
+    return rows.mapInArrow(pack, schema).join(marks, F.col("id") == F.col("of")).drop("of")

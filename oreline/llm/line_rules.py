@@ -122,7 +122,7 @@ def _judged(x: Column) -> Column:
     n = F.size(x.words)
     ends = F.rtrim(F.right(x.line, F.lit(4))).rlike(r"[.!?:;…。！？\"'»”)\]]$")
     phrase = x.line.rlike("(?i)" + "|".join(BOILERPLATE))
-    stutter = (n >= 10) & (n <= 400) & (F.size(F.array_distinct(x.words)) * 4 < n)
+    stutter = (n >= 10) & (F.size(F.array_distinct(x.words)) * 4 < n)
     rule = (
         F.when((x.bars >= 2) & (x.bars * 3 >= n), "navigation")
         .when((n < FEW_WORDS) & ~ends, "navigation")

@@ -86,8 +86,8 @@ def _line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir).select("doc_id", "source", "text")
-    return mixing.mix(docs).select("doc_id", "source", "size", "source_size", "target", "taken")
+    mixed = mixing.mix(documents(spark, sf_dir))
+    return mixed.select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
 def _pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,7 +101,8 @@ def _suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(documents(spark, sf_dir), width=4).drop("set_id")
+    found = minhash.near_duplicates(documents(spark, sf_dir), width=4)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

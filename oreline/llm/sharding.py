@@ -68,9 +68,12 @@ def assign_shards(
     """``rows`` with ``depth``, ``shard_id`` (prefix bits, a page after a dash) and ``shard_bytes``."""
     require(rows, key, size)
     added = ["depth", "shard_id", "shard_bytes"]
-    rows = rows.drop(*[c for c in added if c not in (key, size)])
-    hashed = rows.withColumns(
-        {"shard_hash": hash_bits(F.col(key)), "shard_size": F.coalesce(F.col(size), F.lit(0)).cast("long")}
+    columns = [c for c in rows.columns if c not in added or c in (key, size)]
+    # The caller's columns travel in one, whatever their names.
+    hashed = rows.select(
+        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("own"),
+        hash_bits(F.col(key)).alias("shard_hash"),
+        F.coalesce(F.col(size), F.lit(0)).cast("long").alias("shard_size"),
     )
     sizes = hashed.groupBy(F.col("shard_hash").alias("hash")).agg(F.sum("shard_size").alias("bytes"))
     leaves = stored(directory(stored(sizes, "sizes"), limit_bytes), "directory")
@@ -79,7 +82,7 @@ def assign_shards(
     )
     placed = hashed.join(leaves.withColumn("bits", bits), F.col("shard_hash") == F.col("hash"))
     fits = F.col("shard_bytes") <= limit_bytes
-    whole = placed.where(fits).select(*rows.columns, "depth", F.col("bits").alias("shard_id"), "shard_bytes")
+    whole = placed.where(fits).select("own", "depth", F.col("bits").alias("shard_id"), "shard_bytes")
 
     # One hash with more than a shard: pages of half the limit, so that the last row fits too.
     many = stored(placed.where(~fits), "pages")
@@ -97,12 +100,13 @@ def assign_shards(
     large = many.where(F.col("shard_size") > half)
     alone = F.concat(F.lit("x"), F.monotonically_increasing_id().cast("string"))
     large = large.withColumn("page", alone)
-    columns = [*rows.columns, "depth", "bits", "page", "shard_size"]
-    paged = stored(small.select(*columns).union(large.select(*columns)), "paged")
+    used = ["own", "depth", "bits", "page", "shard_size"]
+    paged = stored(small.select(*used).union(large.select(*used)), "paged")
     paged = paged.withColumn("shard_id", F.concat_ws("-", "bits", "page"))
     totals = paged.groupBy(F.col("shard_id").alias("of")).agg(F.sum("shard_size").alias("shard_bytes"))
     paged = paged.join(totals, F.col("shard_id") == F.col("of"))
-    return whole.union(paged.select(*rows.columns, "depth", "shard_id", "shard_bytes"))
+    out = whole.union(paged.select("own", "depth", "shard_id", "shard_bytes"))
+    return out.select(*[F.col(f"own.`{c}`") for c in columns], *added)
 
 
 def write_shards(docs: DataFrame, assigned: DataFrame, path: str, key: str = "doc_id") -> None:

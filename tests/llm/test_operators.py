@@ -23,7 +23,7 @@ from oreline.llm import (
     suffix_dedup,
     vectors,
 )
-from oreline.llm.common import components
+from oreline.llm.common import components, stored
 from oreline.llm.queries import pieces_path
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, size string"
@@ -271,5 +271,5 @@ def test_pipeline_runs_and_keeps_columns(spark):
         out = stage(spark, docs, sf_dir)
         if name != "sentencepiece":
             assert out.columns == docs.columns
-        docs = corpus_pipeline.stored(out, name)
+        docs = stored(out, name)
     assert 0 < docs.count()

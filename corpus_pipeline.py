@@ -7,11 +7,11 @@ use a document's id, text and source; null and repeated ids are rows like others
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreline.llm import minhash, mixing, pieces, quality_classifier, suffix_dedup
-from oreline.llm.common import documents, stored
+from oreline.llm.common import discard, documents, kept, scratch, stored
 from oreline.llm.queries import GOOD_SCORE, pieces_path
 
 # Bytes of a repeated string; fifty words have some 240 to 470.
@@ -30,14 +30,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: the least id, and one row of it."""
-    found = minhash.near_duplicates(docs)
-    ids = found.where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    named = docs.join(ids, F.expr("doc_id = kept_id")).withColumn("row__", F.row_number().over(first))
-    # Rows without an id have no name to be dropped by; they stay.
-    rest = docs.where("doc_id is null")
-    return named.where("row__ = 1").select(*docs.columns).union(rest)
+    """One document of each near-duplicate group, that of the least id."""
+    return minhash.one_of_each(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +46,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
-    return mixing.copies(mixing.mix(docs)).select(*docs.columns)
+    return mixing.copies(docs, mixing.mix(docs))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -72,6 +66,10 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name)
+    for k, (name, stage) in enumerate(STAGES):
+        with scratch(spark):
+            out = kept(stage(spark, docs, sf_dir), name)
+        if k:
+            discard(docs)
+        docs = out
     return docs

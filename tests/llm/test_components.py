@@ -1,0 +1,44 @@
+"""Components of odd graphs, and the rounds they take."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+
+from oreline.llm import common
+
+
+def _least(edges):
+    name = {x: x for e in edges for x in e}
+    moved = True
+    while moved:
+        moved = False
+        for a, b in edges:
+            low = min(name[a], name[b])
+            if name[a] != low or name[b] != low:
+                name[a] = name[b] = low
+                moved = True
+    return name
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_random_graphs(spark, seed):
+    rng = random.Random(seed)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(140 + 60 * seed)]
+    edges = [e for e in edges if e[0] != e[1]] + edges[:3]
+    edges += [(1000 + k, 1000 + k // 2) for k in range(1, 60)]  # a tree
+    want = _least([e for e in edges if e[0] != e[1]])
+    got = common.components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert len(got) == len(want) and {r.node: r.component for r in got} == want
+
+
+def test_stars_need_no_round_and_nothing_gives_nothing(spark, monkeypatch):
+    def never(stars):
+        raise AssertionError("a round on settled stars")
+
+    monkeypatch.setattr(common, "_large_star", never)
+    stars = spark.createDataFrame([(1, 5), (6, 1), (1, 7), (2, 9), (5, 1)], "a long, b long")
+    got = {tuple(r) for r in common.components(stars).collect()}
+    assert got == {(1, 1), (5, 1), (6, 1), (7, 1), (2, 2), (9, 2)}
+    assert common.components(stars.where("false")).count() == 0

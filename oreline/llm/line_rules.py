@@ -2,8 +2,8 @@
 
 Each line is judged alone: by its punctuation (too many signs or doubled
 exclamation marks for its words), as navigation (cells between bars, or few
-words without an end), as boilerplate (a fixed phrase in a short line) and by
-stuttering (one word after the other repeated). Failing lines are removed, and a
+words without an end), as boilerplate (a fixed phrase, English, German, French or
+Spanish whatever the document's language, in a short line) and by stuttering (one word after the other repeated). Failing lines are removed, and a
 document that loses too many of its words is rejected.
 
 Cases: a null text has no words, fails the base rules and stays null; blank lines
@@ -26,23 +26,61 @@ MOST_LOST = 40  # percent of the words
 SIGNS_PER_WORD = 0.5
 FEW_WORDS = 4
 SHORT_LINE = 40
-# Phrases of lines that are not part of a text.
-BOILERPLATE = [
-    "all rights reserved",
-    "licensed under the",
-    "terms of use",
-    "terms of service",
-    "privacy policy",
-    "cookie policy",
-    "uses cookies",
-    "subscribe to our newsletter",
-    "sign up for our",
-    "click here to",
-    "skip to content",
-    "back to top",
-    "enable javascript",
-    "lorem ipsum",
-]
+# Phrases of lines that are not part of a text, by language.
+BOILERPLATE = {
+    "en": [
+        "all rights reserved",
+        "licensed under the",
+        "terms of use",
+        "terms of service",
+        "privacy policy",
+        "cookie policy",
+        "uses cookies",
+        "subscribe to our newsletter",
+        "sign up for our",
+        "click here to",
+        "skip to content",
+        "back to top",
+        "enable javascript",
+        "lorem ipsum",
+    ],
+    "de": [
+        "alle rechte vorbehalten",
+        "lizenziert unter",
+        "nutzungsbedingungen",
+        "datenschutzerklärung",
+        "verwendet cookies",
+        "newsletter abonnieren",
+        "klicken sie hier",
+        "zum inhalt springen",
+        "zum seitenanfang",
+        "javascript aktivieren",
+    ],
+    "fr": [
+        "tous droits réservés",
+        "distribué sous licence",
+        "conditions d['’]utilisation",
+        "politique de confidentialité",
+        "utilise des cookies",
+        "abonnez-vous à notre",
+        "cliquez ici pour",
+        "aller au contenu",
+        "haut de page",
+        "activer javascript",
+    ],
+    "es": [
+        "todos los derechos reservados",
+        "publicado bajo la licencia",
+        "condiciones de uso",
+        "términos de uso",
+        "política de privacidad",
+        "utiliza cookies",
+        "suscríbete a nuestro",
+        "haz clic aquí",
+        "saltar al contenido",
+        "volver arriba",
+    ],
+}
 
 
 def _without(text: Column, signs: str) -> Column:
@@ -121,7 +159,8 @@ def _judged(x: Column) -> Column:
     """A measured line with its number of words and the rule that it fails, if any."""
     n = F.size(x.words)
     ends = F.rtrim(F.right(x.line, F.lit(4))).rlike(r"[.!?:;…。！？\"'»”)\]]$")
-    phrase = x.line.rlike("(?i)" + "|".join(BOILERPLATE))
+    # Phrases are tried where a word starts only.
+    phrase = x.line.rlike(r"(?iu)\b(?:" + "|".join(p for own in BOILERPLATE.values() for p in own) + ")")
     stutter = (n >= 10) & (F.size(F.array_distinct(x.words)) * 4 < n)
     rule = (
         F.when((x.bars >= 2) & (x.bars * 3 >= n), "navigation")

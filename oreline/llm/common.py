@@ -79,8 +79,8 @@ def word_count(text: Column) -> Column:
     return F.size(word_array(text)).cast("long")
 
 
-def meet_totals(rows: DataFrame, totals: DataFrame, *keys: str) -> DataFrame:
-    """Inner join of ``rows`` with ``totals``, a table grouped by ``keys``.
+def meet_totals(rows: DataFrame, totals: DataFrame, *keys: str, how: str = "inner") -> DataFrame:
+    """Join of ``rows`` with ``totals``, a table grouped by ``keys``.
 
     A grouped table already lies by its keys, and a join that reuses this cannot be
     split where a key is hot. Joining by a hash of the keys as well deals out both
@@ -88,7 +88,7 @@ def meet_totals(rows: DataFrame, totals: DataFrame, *keys: str) -> DataFrame:
     """
     spread = F.xxhash64(*keys)
     both = [x.withColumn("spread__", spread) for x in (rows, totals)]
-    return both[0].join(both[1], ["spread__", *keys]).drop("spread__")
+    return both[0].join(both[1], ["spread__", *keys], how).drop("spread__")
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:

@@ -13,7 +13,8 @@ The suffix array is built by linear grouping: suffixes are grouped by their
 Lyndon prefix, groups are processed in descending order with pointers to the
 previous smaller suffix, and the order inside the groups follows from one pass.
 
-Groups are counted before anything is joined. A core with more than
+Groups are counted before anything is joined, and copies of a span that lie together are
+packed into one row. A core with more than
 ``SPLIT_ABOVE`` surroundings, as around a passage that many documents quote, is
 split: each half of its windows has bytes of one flank in common, which join the core.
 Halves are counted and split again until they fit the array or are one window, which
@@ -47,6 +48,7 @@ SPLIT_ABOVE = 128
 SEGMENT = 1 << 18
 SYMBOLS = 1 << 16  # of one suffix array, unless one group has more
 PIECES_PER_TASK = 4096
+PACK_ROWS = 1024
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -390,18 +392,22 @@ def repeated_ranges(
         F.count(F.lit(1)).alias("n"), F.min("span").alias("least"), F.max("span").alias("most")
     )
     cores = cores.where("n > 1").select("core", (F.col("least") != F.col("most")).alias("mixed"))
-    again = stored(meet_totals(found, cores, "core"), "again")
+    again = meet_totals(found, cores, "core").sortWithinPartitions("core", "span")
+    again = stored(again, "again")
     discard(found)
-    spans = again.groupBy("core", "span").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.max("mixed").alias("mixed"),
-        F.min(F.struct(F.col("key").isNull().alias("none"), "key", "mark", "at", "low", "high")).alias(
-            "one"
-        ),
+    packed = stored(_packed(again), "packed")
+    discard(again)
+    spans = packed.groupBy("core", "span").agg(
+        F.sum(F.size("places")).alias("n"), F.max("mixed").alias("mixed"), F.min("one").alias("one")
     )
     spans = stored(spans, "spans")
-    copies = meet_totals(again, spans.select("core", "span", "n"), "core", "span").where("n > 1")
-    whole = copies.select("key", "mark", F.col("low").alias("start"), (F.col("high") + length).alias("end"))
+    # A span that a pack holds twice repeats; only lone ones ask whether another pack has it.
+    many = packed.where(F.size("places") > 1).select(F.explode("places").alias("place"))
+    alone = packed.where(F.size("places") == 1).select("core", "span", F.col("places")[0].alias("place"))
+    alone = meet_totals(alone, spans.where("n > 1").select("core", "span"), "core", "span")
+    whole = many.union(alone.select("place")).select(
+        "place.key", "place.mark", F.col("place.low").alias("start"), (F.col("place.high") + length).alias("end")
+    )
 
     chosen = spans.where("mixed").select("one.*").groupBy("key", "mark").agg(
         F.collect_list(F.struct("at", "low", "high")).alias("chosen")
@@ -414,6 +420,21 @@ def repeated_ranges(
     return reduce(DataFrame.union, [whole, *_repeated_pieces(pieces, length)])
 
 
+def _packed(again: DataFrame) -> DataFrame:
+    """``(core, span, pack, mixed, one, places)``: anchors of a span that lie near each other.
+
+    A pack holds at most ``PACK_ROWS`` anchors, so a span that most texts have is packed
+    where it lies, before anything is shuffled, and never gathered in one row.
+    """
+    pack = F.floor(F.monotonically_increasing_id() / PACK_ROWS)
+    one = F.struct(F.col("key").isNull().alias("none"), "key", "mark", "at", "low", "high")
+    return again.withColumn("pack", pack).groupBy("core", "span", "pack").agg(
+        F.max("mixed").alias("mixed"),
+        F.min(one).alias("one"),
+        F.collect_list(F.struct("key", "mark", "low", "high")).alias("places"),
+    )
+
+
 def _repeated_pieces(pieces: DataFrame, length: int) -> list[DataFrame]:
     """Repeated windows of ``pieces`` as byte ranges, a frame for each width of pieces."""
     out, width = [], PIECE

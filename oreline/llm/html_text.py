@@ -9,8 +9,9 @@ and no name counts against an element that holds the article.
 What tags do not decide, the other pages of the host do. The blocks of a page without
 a marked article are its token stream. Pages of a host are dealt into shards of about
 ``SHARD_TOKENS`` (of about ``SHARD_PAGES`` where pages are longer); each shard's streams are put into one suffix array (built by linear
-grouping), and strings of ``REPEAT_TOKENS`` tokens or more, or whole blocks, that stand
-on ``COMMON_PERCENT`` of the shard's distinct pages are boilerplate. A block that they
+grouping) that proposes the strings of ``REPEAT_TOKENS`` tokens common in it. Proposed
+strings and whole blocks are counted over the host; those that stand on
+``COMMON_PERCENT`` of its distinct pages are boilerplate. A block that they
 cover goes, all others stay whole. Inside marked articles a whole block goes if it
 stands in ``ARTICLES`` different articles of the host or more, and in
 ``ARTICLE_PERCENT`` of them.
@@ -51,12 +52,13 @@ from oreline.llm.suffix_dedup import suffix_array
 
 REPEAT_TOKENS = 8
 COVERED_PERCENT = 90  # of a block's tokens
-COMMON_PERCENT = 50  # of the distinct pages of a shard
+COMMON_PERCENT = 50  # of the distinct pages of a host
 SHARD_TOKENS = 1 << 15
 SHARD_PAGES = 64
 ARTICLES = 8
 ARTICLE_PERCENT = 80
 MAIN, OPEN, OUTSIDE = "main", "open", "outside"
+BEGIN, END = -1, -2  # of a block, beside the hashes of its tokens
 
 # Elements by what they do to the text around them.
 SILENT = set("script style noscript template iframe svg canvas object title button select textarea".split())
@@ -333,18 +335,21 @@ def distinct_pages(rows: DataFrame) -> DataFrame:
     )
 
 
-def array_repeats(tokens: list[np.ndarray], ones: np.ndarray) -> np.ndarray:
-    """Which blocks are boilerplate: ``tokens`` of each, and the page each stands on."""
-    codes = {t: k + 2 for k, t in enumerate(np.unique(np.concatenate(tokens)).tolist())}
+def array_strings(tokens: list[np.ndarray], ones: np.ndarray, least: int) -> np.ndarray:
+    """Strings of ``REPEAT_TOKENS`` symbols that stand on ``least`` distinct pages, one a row.
+
+    ``tokens`` are those of each block, ``ones`` the page each stands on. A string lies
+    within a block, whose begin and end are symbols.
+    """
+    known = np.unique(np.concatenate(tokens))
+    values = np.r_[BEGIN, END, known].astype(np.int64)
+    codes = {t: k + 2 for k, t in enumerate(known.tolist())}
     text: list[int] = []
-    begins, stop = [], -2
+    stop = -2
     for block in tokens:
-        begins.append(len(text) + 1)
-        # Where a block begins (0) and ends (1); a stop of its own keeps strings inside it.
+        # A stop of its own keeps strings inside a block.
         text += [0, *map(codes.__getitem__, block.tolist()), 1, stop]
         stop -= 1
-    least = max(2, -(-COMMON_PERCENT * len(np.unique(ones)) // 100))
-    n = len(text)
     owner = np.repeat(np.arange(len(tokens)), [len(t) + 3 for t in tokens])
     order = np.array(suffix_array(text))
     symbols = np.array(text + [-1] * REPEAT_TOKENS)
@@ -355,26 +360,43 @@ def array_repeats(tokens: list[np.ndarray], ones: np.ndarray) -> np.ndarray:
     # Intervals of suffixes with a common prefix, and the distinct pages of each.
     interval = np.r_[0, np.cumsum(~same)]
     pairs = np.unique(np.stack([interval, ones[owner[order]]]), axis=1)
-    many = np.bincount(pairs[0]) >= least
-    edges = np.zeros(n + 1, np.int64)
-    common = order[many[interval]]
-    common = common[common + REPEAT_TOKENS <= n]
-    np.add.at(edges, common, 1)
-    np.add.at(edges, common + REPEAT_TOKENS, -1)
-    covered = np.r_[0, np.cumsum(np.cumsum(edges[:-1]) > 0)]
-    size = np.array([len(t) for t in tokens])
-    begin = np.array(begins)
-    share = covered[begin + size] - covered[begin]
-    # Whole blocks, of any length: suffixes that agree from a begin to an end.
-    whole: dict[bytes, set] = {}
-    for block, page in zip(tokens, ones.tolist()):
-        whole.setdefault(block.tobytes(), set()).add(page)
-    equal = np.array([len(whole[t.tobytes()]) >= least for t in tokens])
-    return equal | (share * 100 >= COVERED_PERCENT * size)
+    first = order[np.flatnonzero(np.r_[True, ~same])]
+    first = first[np.bincount(pairs[0]) >= least]
+    strings = symbols[first[:, None] + np.arange(REPEAT_TOKENS)]
+    return values[strings[(strings >= 0).all(axis=1)]]
+
+
+def _proposed(dealt: DataFrame) -> DataFrame:
+    """``(host, string)`` of the strings that the suffix array of a shard finds common there.
+
+    A distinct page that lies in several shards counts in full where a string is held and
+    in part where pages are counted. So the counts of all shards add up to no less than the
+    host's, their pages to just the host's, and a string that is common on the host is
+    common in one of its shards at least.
+    """
+    parts = dealt.select("host", "shard", "one").distinct()
+    times = parts.groupBy("host", "one").agg(F.count(F.lit(1)).alias("times"))
+    share = meet_totals(parts, times, "host", "one").groupBy("host", "shard")
+    share = share.agg(F.sum(F.lit(1.0) / F.col("times")).alias("share"))
+    rows = meet_totals(dealt.select("host", "shard", "one", "tokens"), share, "host", "shard")
+
+    def propose(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        ones = pd.factorize(group["one"].map(bytes))[0]
+        # Rounding must not raise it.
+        least = max(1, int(np.ceil(COMMON_PERCENT * group["share"].iloc[0] / 100 - 1e-6)))
+        strings = array_strings([np.asarray(t) for t in group["tokens"]], ones, least)
+        return pd.DataFrame({"host": key[0], "symbols": pd.Series(list(strings), dtype=object)})
+
+    found = rows.groupBy("host", "shard").applyInPandas(propose, "host string, symbols array<long>")
+    return found.select("host", F.xxhash64("symbols").alias("string")).distinct()
 
 
 def common_in_streams(rows: DataFrame) -> DataFrame:
-    """``(page_id, mark, seq)`` of blocks that the suffix arrays of their host cover."""
+    """``(page_id, mark, seq)`` of blocks that strings common on their host cover.
+
+    The suffix arrays of the host's shards propose strings; what they propose is counted
+    over the whole host, so how its pages are dealt decides nothing.
+    """
     # Repeated rows are one page.
     rows = rows.where("article is null").dropDuplicates(["host", "page_id", "mark", "seq"])
     rows = stored(rows.drop("article"), "streams")
@@ -388,22 +410,40 @@ def common_in_streams(rows: DataFrame) -> DataFrame:
     )
     dealt = meet_totals(rows, room, "host")
     dealt = dealt.join(named, F.expr("host = of_host and struct(page_id, mark) <=> of_page"))
-    dealt = dealt.select(
-        "host",
-        F.expr("pmod(xxhash64(page_id, mark), shards)").alias("shard"),
-        "page_id",
-        "mark",
-        "seq",
-        "one",
-        "tokens",
+    shard = F.expr("pmod(xxhash64(page_id, mark), shards)").alias("shard")
+    dealt = stored(dealt.select("host", shard, "page_id", "mark", "seq", "block", "n", "one", "tokens"), "dealt")
+    hosts = dealt.select("host", "one").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("of_host"))
+
+    def common(held: DataFrame, what: str) -> DataFrame:
+        seen = held.select("host", what, "one").distinct().groupBy("host", what)
+        seen = meet_totals(seen.agg(F.count(F.lit(1)).alias("seen")).where("seen > 1"), hosts, "host")
+        return seen.where(F.col("seen") * 100 >= F.col("of_host") * COMMON_PERCENT).select("host", what)
+
+    # Whole blocks, of any length.
+    equal = meet_totals(dealt, common(dealt, "block"), "host", "block").select("page_id", "mark", "seq")
+
+    symbols = F.concat(F.array(F.lit(BEGIN)), "tokens", F.array(F.lit(END)))
+    last = F.col("n").cast("int") + 2 - REPEAT_TOKENS
+    strings = F.transform(
+        F.sequence(F.lit(0), last), lambda at: F.xxhash64(F.slice(symbols, at + 1, REPEAT_TOKENS))
     )
-
-    def judge(group: pd.DataFrame) -> pd.DataFrame:
-        ones = pd.factorize(group["one"].map(bytes))[0]
-        gone = array_repeats([np.asarray(t) for t in group["tokens"]], ones)
-        return group.loc[gone, ["page_id", "mark", "seq"]]
-
-    return dealt.groupBy("host", "shard").applyInPandas(judge, "page_id string, mark long, seq int")
+    held = dealt.where(last >= 0).select(
+        "host", "page_id", "mark", "seq", "n", "one", F.posexplode(strings).alias("at", "string")
+    )
+    held = stored(meet_totals(held, _proposed(dealt), "host", "string"), "held")
+    held = meet_totals(held, common(held, "string"), "host", "string")
+    places = held.groupBy("host", "page_id", "mark", "seq", "n").agg(
+        F.sort_array(F.collect_set("at")).alias("places")
+    )
+    # Symbols that the strings cover, less the begin and the end.
+    covered = F.expr(
+        "aggregate(sequence(1, size(places)), 0, (sum, k) -> sum + "
+        f"if(k = size(places), {REPEAT_TOKENS}, least({REPEAT_TOKENS}, places[k] - places[k - 1])))"
+    )
+    for edge in (F.lit(0), last):
+        covered = covered - F.array_contains("places", edge).cast("int")
+    places = places.where(covered * 100 >= COVERED_PERCENT * F.col("n"))
+    return equal.union(places.select("page_id", "mark", "seq"))
 
 
 def extract(

@@ -40,7 +40,6 @@ WORDS_KEPT = 1 << 20
 # Of a block of a neighbourhood, and of a block of sketches of a bucket.
 BLOCK_TEXTS = 96
 BLOCK_SKETCHES = 1024
-SECOND_BANDS = 3
 BLOCK_CHARS = 4 << 20
 
 _TAIL = 64 - BUCKET_BITS
@@ -196,11 +195,8 @@ def _stars_across(
 
     Members that the screen parts from their head may still resemble each other.
     A bucket with members of several neighbourhoods is compared in full by size and
-    sketch; buckets of the same members are one. A bucket of more than a block of members,
-    as of a passage that many texts quote, is first regrouped by each of the next
-    ``SECOND_BANDS`` bands, as similar texts share many bands and quoting ones few; what
-    is still more than a block is compared block by block. As few pairs are returned as
-    join what a block joins.
+    sketch, whatever its size, in blocks of which every two meet; buckets of the same
+    members are one. As few pairs are returned as join what a block joins.
     """
     many = shared.where("n > 2").join(hoods, F.col("class") == F.col("node"), "left")
     many = many.select("band", "key", "class", F.coalesce("hood", "class").alias("hood"))
@@ -211,27 +207,16 @@ def _stars_across(
     once = split.where("low < high").groupBy("size", "d1", "d2").agg(
         F.min(F.struct("band", "key")).alias("bucket")
     )
-    once = once.select("bucket.*", "size")
-    dealt = meet_totals(many, stored(once, "split"), "band", "key").join(classes, "class")
-    next_ = F.transform(
-        F.sequence(F.lit(1), F.lit(SECOND_BANDS)), lambda k: (F.col("band") + k) % BANDS
-    )
-    seconds = F.when(F.col("size") > BLOCK_SKETCHES, next_).otherwise(F.array(F.lit(-1)))
-    dealt = dealt.withColumn("second", F.explode(seconds))
-    dealt = dealt.withColumn("key2", F.expr("if(second < 0, 0L, bands[second])"))
-    bucket = ["band", "key", "second", "key2"]
-    room = dealt.groupBy(*bucket).agg(
-        F.min("hood").alias("low"), F.max("hood").alias("high"), F.count(F.lit(1)).alias("n")
-    )
-    room = room.where("low < high").select(
-        *bucket, F.ceil(F.col("n") / BLOCK_SKETCHES).cast("int").alias("blocks")
-    )
-    dealt = meet_totals(dealt, room, *bucket)
+    blocks = F.ceil(F.col("size") / BLOCK_SKETCHES).cast("int").alias("blocks")
+    once = stored(once.select("bucket.*", blocks), "split")
+    dealt = meet_totals(many, once, "band", "key").join(classes, "class")
     dealt = dealt.withColumn("block", F.expr("pmod(xxhash64(class), blocks)"))
     met = dealt.withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1L)"))).select(
-        *bucket,
+        "band",
+        "key",
         F.least("block", "other").alias("low"),
         F.greatest("block", "other").alias("high"),
+        "block",
         "class",
         "hood",
         "n_shingles",
@@ -240,13 +225,18 @@ def _stars_across(
     chance = 1 / (3 * 2**MANTISSA_BITS)
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("n_shingles", kind="stable")
         bands = np.stack(group["bands"].to_list()).astype(np.int64).view(np.uint16)
         size, name = group["n_shingles"].to_numpy(), group["class"].to_numpy()
-        part, links = pd.factorize(group["hood"].map(bytes))[0], []
-        for i in range(len(name) - 1):
-            least, most = np.minimum(size, size[i]), np.maximum(size, size[i])
-            near = (part != part[i]) & (least * 100 >= most * percent)
-            near = np.flatnonzero(near[i + 1 :]) + i + 1
+        part, block = pd.factorize(group["hood"].map(bytes))[0], group["block"].to_numpy()
+        # Where two blocks meet, what lies within one is left to its own group.
+        within = group["low"].iloc[0] == group["high"].iloc[0]
+        ends, links = np.searchsorted(size * percent, size * 100, side="right"), []
+        for i, end in enumerate(ends):
+            near = part[i + 1 : end] != part[i]
+            if not within:
+                near &= block[i + 1 : end] != block[i]
+            near = np.flatnonzero(near) + i + 1
             equal = (bands[near] == bands[i]).sum(axis=1)
             close = (equal / BUCKETS - chance) / (1 - chance) >= percent / 100 - MARGIN
             for j in near[close]:
@@ -255,7 +245,7 @@ def _stars_across(
                     part[part == part[j]] = part[i]
         return pd.DataFrame(links, columns=["a", "b"])
 
-    return met.groupBy(*bucket, "low", "high").applyInPandas(compare, "a binary, b binary")
+    return met.groupBy("band", "key", "low", "high").applyInPandas(compare, "a binary, b binary")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:

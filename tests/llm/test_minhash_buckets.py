@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pytest
+
 from oreline.llm import minhash
 
 
@@ -14,3 +17,19 @@ def test_links_beside_a_dissimilar_head(spark):
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r.component_id for r in minhash.near_duplicates(frame).collect()}
     assert got == {0: 0, 1: 0} | {k: k for k in range(2, len(rows))}
+
+
+@pytest.mark.parametrize("block", [1024, 8])
+def test_the_size_of_a_bucket_decides_nothing(spark, monkeypatch, block):
+    monkeypatch.setattr(minhash, "BLOCK_SKETCHES", block)
+    rng = np.random.default_rng(3)
+    bands = rng.integers(-(1 << 62), 1 << 62, (41, 32))
+    bands[:, 0] = 5  # all lie in one bucket
+    bands[1] = bands[0]
+    bands[1, 1:4] += 1 << 40  # like the first one, but not in the bands that follow
+    classes = [(bytes([k]), 100, x.tolist()) for k, x in enumerate(bands)]
+    classes = spark.createDataFrame(classes, "class binary, n_shingles long, bands array<long>")
+    shared = classes.selectExpr("0 as band", "5L as key", "class", "unhex('28') as head", "41L as n")
+    hoods = spark.createDataFrame([], "node binary, hood binary")
+    got = minhash._stars_across(shared, hoods, classes, 80).distinct().collect()
+    assert [(bytes(r.a), bytes(r.b)) for r in got] == [(b"\x00", b"\x01")]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from oreline.llm import suffix_dedup
 
@@ -35,3 +36,17 @@ def test_packs_are_bounded(spark, monkeypatch):
     )
     packs = suffix_dedup._packed(again).selectExpr("size(places) as n").collect()
     assert sum(r.n for r in packs) == 1000 and max(r.n for r in packs) <= 10
+
+
+def test_packs_that_lie_together_are_unpacked_evenly(spark):
+    again = spark.range(0, 20000, 1, 1).selectExpr(
+        "1L as core", "2L as span", "false as mixed", "id as key", "id as mark", "0L as at", "0L as low", "9L as high"
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        places = suffix_dedup._unpacked(suffix_dedup._packed(again).coalesce(1))
+        tasks = places.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(r["count"] for r in tasks) == 20000
+    assert len(tasks) == 8 and max(r["count"] for r in tasks) < 1.2 * 20000 / 8

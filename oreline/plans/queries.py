@@ -208,11 +208,12 @@ def _gold_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact written under its contract; a write that breaks it must not be seen."""
     fact, contract = _layers(spark, sf_dir)["fact_sales"], GOLD_CONTRACTS["fact_sales"]
     table = VersionedTable(spark, f"{work_dir(spark)}/fact_sales")
-    materialize(fact, "table", table, contract=contract)
+    materialize(fact, "table", table, contract=contract, parts_by="sales_order_key")
     has_discount = F.col("discount_amount") != 0
     broken = fact.withColumn("net_sales_amount", F.when(has_discount, F.col("net_sales_amount")))
     try:
-        table.write(broken.withColumn("order_status", F.lit("x" * 51)), contract=contract)
+        broken = broken.withColumn("order_status", F.lit("x" * 51))
+        table.write(broken, contract=contract, parts_by="sales_order_key")
     except quality.ContractViolation:
         return table.read()
     raise AssertionError("a broken write was published")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oreline.operators.filters import newer_than_time
-from oreline.operators.tables import VersionedTable, written
+from oreline.operators.tables import VersionedTable, written, written_in_parts
 
 
 R = TypeVar("R")
@@ -38,6 +38,7 @@ def incremental(
     build_changes: Callable[[DataFrame, str], DataFrame] | None = None,
     full_refresh: bool = False,
     lookback_days: int = 0,
+    parts_by: str | None = None,
 ) -> int:
     """Refresh ``table`` with what changed in ``source``; return rows processed.
 
@@ -47,14 +48,20 @@ def incremental(
     if not given), and upsert the result. The watermark comes with the table's
     version where that knows it, else from the files' footers. ``build_changes``
     also gets a folder for tables of its own, which is removed after the merge.
+    ``parts_by`` names a column of both the source and the table by which big input is
+    taken in parts.
     """
     if full_refresh or not table.exists():
-        return table.write(build(source))
+        return table.write(build(source), parts_by=parts_by)
     highest = table.greatest(target_column or source_column)
     fresh = newer_than_time(source, highest, source_column, lookback_days)
     with table.work() as folder:
-        changed = written(fresh, f"{folder}/changed")
-        return table.upsert(build_changes(changed, folder) if build_changes else build(changed))
+        if parts_by:
+            changed = written_in_parts(fresh, f"{folder}/changed", parts_by)
+        else:
+            changed = written(fresh, f"{folder}/changed")
+        delta = build_changes(changed, folder) if build_changes else build(changed)
+        return table.upsert(delta, parts_by=parts_by)
 
 
 def scd1_seen(

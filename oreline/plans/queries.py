@@ -144,6 +144,7 @@ def _incremental_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
             build_changes=lambda rows, folder: silver.changed_sales_orders(
                 rows, orders, *others, folder
             ),
+            parts_by="sales_order_pk",
         )
     return table.read()
 

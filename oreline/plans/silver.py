@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from oreline.functions import date_key, is_open_ended, map_values, net_amount, varchar
+from oreline.operators import files
 from oreline.operators.lookups import UNKNOWN_KEY, enrich, lookup_key, only_matching
-from oreline.operators.tables import written
+from oreline.operators.tables import written_in_parts
 
 # Country names by code, labels of an unmapped category.
 COUNTRY_NAMES = {"BE": "Belgium", "NL": "Netherlands", "FR": "France"}
@@ -163,7 +164,7 @@ def changed_sales_orders(
     holds what is written until the result was used.
     """
     joined = _lines(changed_lines).join(_headers(stg_orders), "sales_order_pk")
-    rows = written(joined, f"{folder}/with_headers")
+    rows = written_in_parts(joined, f"{folder}/with_headers", "sales_order_pk")
     rows = _with_customer_and_rep(
         rows,
         only_matching(ads_customer, "customer_id", rows),
@@ -194,11 +195,14 @@ def late_members(
     used.
     """
     late = unknown.where(" or ".join(f"{key} = {UNKNOWN_KEY}" for key in LATE_KEYS))
-    rows = written(late, f"{folder}/unknown")
     pk, order = "sales_order_line_pk", "sales_order_pk"
-    names = only_matching(stg_order_lines, pk, rows).select(pk, "product_id")
+    rows = written_in_parts(late, f"{folder}/unknown", order)
+    # A line's key tells its order's; named here so that parts by order take part of the lines.
+    names = only_matching(stg_order_lines, pk, rows).select(pk, order, "product_id")
     headers = only_matching(stg_orders, order, rows).select(order, "customer_id", "sales_rep_id")
-    named = written(rows.join(names, pk).join(headers, order), f"{folder}/named")
+    joined = rows.join(names, [pk, order]).join(headers, order)
+    named = written_in_parts(joined, f"{folder}/named", order)
+    files.delete(rows.sparkSession, f"{folder}/unknown")
     lookups = {
         "customer_id": (ads_customer, {"customer_pk": "new_customer_pk"}),
         "sales_rep_id": (ads_sales_rep, {"sales_rep_pk": "new_sales_rep_pk"}),

@@ -186,7 +186,7 @@ def _late_members(spark: SparkSession, sf_dir: str) -> DataFrame:
         watched=SILVER_WATCHED["ads_sales_order"],
     )
     early = [m.where(condition) for m, condition in zip(members, there)]
-    table.write(silver.sales_orders(orders, lines, *early))
+    table.write(silver.sales_orders(orders, lines, *early), parts_by="sales_order_pk")
     relink_orders(table, orders.withColumn("status", F.lit("EDITED")), lines, *members)
     return table.read()
 

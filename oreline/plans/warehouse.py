@@ -229,6 +229,7 @@ class Warehouse:
                 build_changes=lambda lines, folder: silver.changed_sales_orders(
                     lines, orders, *others, folder
                 ),
+                parts_by="sales_order_pk",
             )
             if relink:
                 with recorder.step("ads_sales_order_relinked", "silver", "incremental") as note:
@@ -291,7 +292,7 @@ def relink_orders(
     unknown = table.read_marked(*silver.LATE_KEYS)
     with table.work() as folder:
         found = silver.late_members(unknown, orders, lines, *members, folder)
-        return table.upsert(found, keeps_times=True)
+        return table.upsert(found, keeps_times=True, parts_by="sales_order_pk")
 
 
 def data_tests(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -207,18 +207,21 @@ def summarize(
         failing += [(check, c, f) for (check, table, c), f in rules.items() if table == name]
         entries = []
         for check, column, fails in failing:
-            entries.append(F.when(fails, _pair(len(labels), F.lit(None))))
+            entries.append(F.when(fails, _pair(len(labels))))
             labels.append((len(labels), check, name, column))
         for c in unique_columns.get(name, ()):
-            entries.append(F.when(F.col(c).isNotNull(), _pair(len(labels), F.col(c))))
+            number = isinstance(df.schema[c].dataType, T.LongType)
+            pair = _pair(len(labels), **{"number" if number else "value": F.col(c)})
+            entries.append(F.when(F.col(c).isNotNull(), pair))
             labels.append((len(labels), "unique", name, c))
         if entries:
             found = df.select(F.explode(F.array_compact(F.array(*entries))).alias("pair")).select("pair.*")
             pairs = found if pairs is None else pairs.unionByName(found)
     parts = []
     if pairs is not None:
-        counted = pairs.groupBy("id", "value").agg(F.count(F.lit(1)).alias("n"))
-        failures = F.when(F.col("value").isNull(), F.col("n")).otherwise((F.col("n") > 1).cast("bigint"))
+        counted = pairs.groupBy("id", "value", "number").agg(F.count(F.lit(1)).alias("n"))
+        bare = F.col("value").isNull() & F.col("number").isNull()
+        failures = F.when(bare, F.col("n")).otherwise((F.col("n") > 1).cast("bigint"))
         counted = counted.groupBy("id").agg(F.sum(failures).alias("found"))
         spark = counted.sparkSession
         listed = spark.createDataFrame(labels, "id int, check string, table string, column string")
@@ -238,9 +241,13 @@ def summarize(
     return out.withColumn("status", status)
 
 
-def _pair(check: int, value: Column) -> Column:
-    """A check's number and a value as text; a key's text tells its values apart."""
-    return F.struct(F.lit(check).alias("id"), value.cast("string").alias("value"))
+def _pair(check: int, value: Column | None = None, number: Column | None = None) -> Column:
+    """A check's number and a value: a long as it is, which moves in fewer bytes, any
+    other as text; a key's text tells its values apart."""
+    value, number = (F.lit(None) if x is None else x for x in (value, number))
+    return F.struct(
+        F.lit(check).alias("id"), value.cast("string").alias("value"), number.cast("long").alias("number")
+    )
 
 
 def _labelled(failures: DataFrame, check: str, table: str, column: str) -> DataFrame:

@@ -141,3 +141,14 @@ def test_summary(child, parent):
 def test_unknown_contract_type():
     with pytest.raises(ValueError):
         Contract.of("t", {"x": "geometry"})
+
+
+def test_long_and_text_values_of_unique_columns_are_told_apart(spark):
+    rows = [(1, "1", 1), (1, "2", 2), (None, None, None), (2, "2", 2)]
+    df = spark.createDataFrame(rows, "n bigint, t string, i int")
+    out = q.summarize({"x": df}, {"x": ["n"]}, {"x": ["n", "t", "i"]})
+    got = {(r["check"], r["column"]): r["failures"] for r in out.collect()}
+    assert got == {("not_null", "n"): 1, ("unique", "n"): 1, ("unique", "t"): 1, ("unique", "i"): 1}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    # A long meets the shuffle as it is.
+    assert "cast(n#" not in plan
